@@ -28,7 +28,7 @@ def register(name: str, sql: str | None):
 
 
 def _load_all() -> None:
-    from doclake.catalog import docs, lines, misc, plans, responses, wide  # noqa: F401
+    from doclake.catalog import docs, incremental, lines, misc, plans, responses, wide  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

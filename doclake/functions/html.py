@@ -20,6 +20,8 @@ RAW_TEXT = {"script", "style"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form",
             "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre",
             "section", "table", "ul"}
+# Block elements: their start separates text by a space, like <br>.
+BLOCK = CLOSES_P | {"li", "dd", "dt", "td", "th", "tr", "body", "html", "figure", "figcaption", "caption"}
 _WS = re.compile(r"\s+")
 
 
@@ -71,6 +73,8 @@ class _Extractor(HTMLParser):
             return
         if tag in CLOSES_P and any(e[0] == "p" for e in self.stack):
             self._close("p")
+        if tag in BLOCK:
+            self._text(" ")
         if tag == "li" and self.stack and any(e[0] == "li" for e in self.stack):
             for k in range(len(self.stack) - 1, -1, -1):
                 if self.stack[k][0] in ("ul", "ol"):

@@ -1,0 +1,197 @@
+"""Document validity and flattening rules, one fixture document per rule."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import docs_df, rows
+from doclake.functions.schemas import PRICES_COLUMNS, REVIEWS_COLUMNS, VINTAGES_COLUMNS
+from doclake.operators import flatten as FL
+
+
+def review(**over):
+    r = {"id": 1, "rating": 4.0, "note": "dry\tand\nlong\x0bend nb", "language": "en",
+         "created_at": "2019-03-01T23:59:00.000Z",
+         "user": {"id": 5, "seo_name": "u5", "alias": "U 5", "visibility": "all", "followers_count": 1,
+                  "following_count": 2, "ratings_count": 3},
+         "vintage": {"id": 70, "seo_name": "v70", "year": "2010", "name": "V 70",
+                     "statistics": {"ratings_count": 9, "ratings_average": 3.9, "labels_count": 4},
+                     "wine": {"id": 7, "name": "W 7",
+                              "region": {"id": 2, "name": "R", "country": {"code": "fr", "name": "France"}}}},
+         "activity": {"id": 8, "statistics": {"likes_count": 0, "comments_count": 1}}, "unknown_field": True}
+    r.update(over)
+    return r
+
+
+def page(*reviews):
+    return json.dumps({"reviews": list(reviews)})
+
+
+def test_review_good_document_all_columns(spark):
+    out = FL.flatten_reviews(docs_df(spark, [("wine-7-reviews-page-1-.json", page(review()))]))
+    assert out.columns == REVIEWS_COLUMNS
+    r = rows(out)[0]
+    assert r["review_id"] == 1 and r["rating"] == 4.0
+    # every ASCII whitespace to one space, NBSP kept
+    assert r["note"] == "dry and long end nb"
+    assert str(r["created_at"]) == "2019-03-01"
+    assert r["vintge_wine_region_id"] == 2 and r["vintge_wine_rgn_cntry_code"] == "fr"
+    assert r["activity_stats_comments_count"] == 1 and r["user_visblty"] == "all"
+
+
+def test_review_defaults_for_missing_region_and_activity(spark):
+    v = review()["vintage"]
+    v["wine"]["region"] = None
+    out = rows(FL.flatten_reviews(docs_df(spark, [("p.json", page(review(vintage=v, activity=None)))])))[0]
+    assert (out["vintge_wine_region_id"], out["vintge_wine_rgn_name"], out["vintge_wine_rgn_cntry_code"],
+            out["vintge_wine_rgn_cntry_name"]) == (-1, "", "", "")
+    assert (out["activity_id"], out["activity_stats_likes_count"], out["activity_stats_comments_count"]) == (-1, -1, -1)
+
+
+def test_present_struct_with_null_id_stays_null(spark):
+    out = rows(FL.flatten_reviews(docs_df(spark, [("p.json", page(review(activity={
+        "id": None, "statistics": {"likes_count": None, "comments_count": 3}})))])))[0]
+    assert out["activity_id"] is None and out["activity_stats_comments_count"] == 3
+
+
+def test_numbers_as_strings_and_fractions(spark):
+    u = review()["user"]
+    u.update(id="12", followers_count=1.7, following_count="-3.9", ratings_count=12345678901)
+    out = rows(FL.flatten_reviews(docs_df(spark, [("p.json", page(review(user=u, rating=None)))])))[0]
+    assert out["user_id"] == 12 and out["user_followers_count"] == 1 and out["user_following_count"] == -3
+    assert out["user_ratings_count"] is None  # beyond 32 bits
+    assert out["rating"] == 0.0  # primitive float: absent is 0.0
+
+
+@pytest.mark.parametrize("bad,reason", [
+    ("not json at all", "not_json"),
+    (json.dumps({"other": 1}), "no_reviews"),
+    (page(review(), None), "null_review"),
+    (page(review(), review(user=None)), "null_user"),
+    (page(review(vintage=None)), "null_vintage"),
+    (page(review(vintage={**review()["vintage"], "statistics": None})), "null_vintage_statistics"),
+    (page(review(vintage={**review()["vintage"], "wine": None})), "null_wine"),
+    (page(review(vintage={**review()["vintage"], "wine": {"id": 7, "region": {"id": 1, "country": None}}})),
+     "null_country"),
+    (page(review(activity={"id": 3, "statistics": None})), "null_activity_statistics"),
+])
+def test_bad_review_document_dropped_whole(spark, bad, reason):
+    docs = docs_df(spark, [("good.json", page(review(), review(id=2))), ("bad.json", bad)])
+    out = FL.flatten_reviews(docs)
+    assert sorted(r["review_id"] for r in rows(out)) == [1, 2]
+    q = {r["file_name"]: r["reason"] for r in rows(FL.quarantine(docs, "reviews"))}
+    assert q == {"good.json": None, "bad.json": reason}
+
+
+def test_empty_review_page_is_valid_with_no_rows(spark):
+    docs = docs_df(spark, [("p.json", page())])
+    assert FL.flatten_reviews(docs).count() == 0
+    assert rows(FL.quarantine(docs, "reviews"))[0]["reason"] is None
+
+
+# ------------------------------------------------------------------ wines
+
+def wine(wid, winery=12, vintages=None, **over):
+    w = {"id": str(wid), "name": f"W{wid}", "type_id": 1.7,
+         "region": {"id": 3, "name": "R", "seo_name": "r",
+                    "country": {"code": "it", "name": "Italy", "regions_count": 5, "users_count": "6",
+                                "wines_count": 7, "wineries_count": 8}},
+         "winery": {"id": winery, "name": "Y", "seo_name": "y",
+                    "statistics": {"ratings_count": 1, "ratings_average": 4.5, "wines_count": 2}},
+         "statistics": {"ratings_count": 10}, "hidden": True,
+         "vintages": vintages if vintages is not None else [
+             {"id": wid * 10 + 1, "seo_name": "a", "year": "N.V.", "name": "A",
+              "statistics": {"ratings_count": 1, "ratings_average": 3.5, "labels_count": 2}},
+             None,
+             {"id": wid * 10 + 2, "seo_name": "b", "year": "2011", "name": "B", "statistics": None}]}
+    w.update(over)
+    return w
+
+
+def test_vintages_rows_skip_nulls_and_foreign_wineries(spark):
+    body = json.dumps({"wines": [wine(1), None, wine(2, winery=99), wine(3, region=None)]})
+    out = FL.flatten_vintages(docs_df(spark, [("wines-12-0-4-.json", body)]))
+    assert out.columns == VINTAGES_COLUMNS
+    got = rows(out, "vintages__id")
+    assert [r["vintages__id"] for r in got] == [11, 12, 31, 32]
+    r = got[0]
+    assert r["wine_type_id"] == 1 and r["rgn__cntry__users_count"] == 6 and r["hidden"] is True
+    assert r["stats__ratings_average"] == 0.0  # statistics present, average absent
+    assert got[1]["vintages__stats__ratings_average"] is None  # statistics missing
+    assert got[2]["rgn__id"] is None and got[2]["rgn__name"] is None
+    assert r["wine_file"] == "wines-12-0-4-.json"
+
+
+@pytest.mark.parametrize("name,body", [
+    ("wines-12-0-1-.json", json.dumps({"wines": [wine(1, vintages=None) | {"vintages": None}]})),
+    ("wines-12-0-1-.json", json.dumps({"wines": [wine(1) | {"winery": None}]})),
+    ("wines-12-0-1.json", json.dumps({"wines": [wine(1)]})),  # strict name needs the last dash
+    ("wines-12-0-1-.json", "{not json"),
+])
+def test_bad_wines_document_dropped(spark, name, body):
+    assert FL.flatten_vintages(docs_df(spark, [(name, body)])).count() == 0
+
+
+def test_winery_info_rules(spark):
+    docs = docs_df(spark, [
+        ("wines-12-0-2-.json", json.dumps({"wines": [wine(1), wine(2)]})),
+        ("wines-13-0-2-.json", json.dumps({"wines": [wine(1), wine(2, winery=99)]})),  # two wineries
+        ("wines-14-0-1-.json", json.dumps({"wines": [wine(1) | {"winery": None}]})),  # only winery NULL
+        ("wines-15-0-0-.json", json.dumps({"wines": []})),  # no wines: no record
+        ("wines-16-0-1-.json", json.dumps({"wines": [None]})),
+    ])
+    got = rows(FL.winery_info(docs))
+    assert got == [{"winery_id": 12, "seo_name": "y", "file_name": "wines-12-0-2-.json"}]
+
+
+def test_worklist_groups_by_id_within_file_in_document_order(spark):
+    v = [{"id": 5}, {"id": 3}]
+    docs = docs_df(spark, [
+        ("wines-1-0-3-.json", json.dumps({"wines": [wine(7, vintages=v), wine(8, vintages=[{"id": 1}]),
+                                                   wine(7, vintages=[{"id": 9}])]})),
+        ("wines-2-0-1.json", json.dumps({"wines": [wine(7, vintages=[{"id": 4}])]})),
+    ])
+    got = sorted((r["file_name"], r["line"]) for r in rows(FL.worklist_lines(docs)))
+    assert got == [("wines-1-0-3-.json", "7=5,3,9"), ("wines-1-0-3-.json", "8=1"), ("wines-2-0-1.json", "7=4")]
+
+
+# ------------------------------------------------------------------ prices
+
+PRICE = {"prices": {"market": {"currency": {"prefix": "$", "name": "US Dollar"}},
+                    "vintages": {"70": {"median": {"amount": 30.5, "type": "m"},
+                                        "price": {"id": 14457849, "amount": 34.99, "discounted_from": 0.0,
+                                                  "type": "ppc"}},
+                                 "71": {"median": None, "price": None}}}}
+
+
+def test_prices_flatten_sample(spark):
+    out = FL.flatten_prices(docs_df(spark, [("wine-7-prices-.json", json.dumps(PRICE))]))
+    assert out.columns == PRICES_COLUMNS
+    got = rows(out, "vintage_id")
+    assert got[0] == {"wine_id": 7, "vintage_id": 70, "currency": "$", "currency_name": "US Dollar",
+                      "median__amount": 30.5, "median__type": "m", "price__amount": "34.99",
+                      "price__discounted_from": "0.0", "price__type": "ppc"}
+    assert got[1]["median__amount"] is None and got[1]["price__amount"] is None
+
+
+def test_prices_repeated_key_last_wins(spark):
+    body = ('{"prices":{"market":{"currency":{"prefix":"$","name":"D"}},'
+            '"vintages":{"70":{"median":{"amount":1}},"71":{"median":{"amount":5}},"70":{"median":{"amount":2}}}}}')
+    got = rows(FL.flatten_prices(docs_df(spark, [("wine-7-prices.json", body)])), "vintage_id")
+    assert [(r["vintage_id"], r["median__amount"]) for r in got] == [(70, 2.0), (71, 5.0)]
+
+
+def test_prices_empty_forms_kept_missing_dropped(spark):
+    market = '"market":{"currency":{"prefix":"$","name":"D"}}'
+    docs = docs_df(spark, [
+        ("wine-1-prices-.json", '{"prices":{%s,"vintages":{}}}' % market),
+        ("wine-2-prices-.json", '{"prices":{%s,"vintages":[]}}' % market),
+        ("wine-3-prices-.json", '{"prices":{%s,"vintages":null}}' % market),
+        ("wine-4-prices-.json", '{"prices":{%s}}' % market),  # vintages missing
+        ("wine-5-prices-.json", '{"prices":{"market":{},"vintages":{"1":{}}}}'),  # currency missing
+        ("wine-x-prices-.json", json.dumps(PRICE)),  # name without id
+    ])
+    assert FL.flatten_prices(docs).count() == 0
+    s = rows(FL.prices_doc_stats(docs))[0]
+    assert s == {"n_docs": 6, "n_dropped": 3, "n_zero_row_docs": 3, "n_rows": 0}

@@ -1,0 +1,133 @@
+"""Line sources, planning set algebra, dense index and round robin."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from doclake.operators.indexing import dense_index, round_robin
+from doclake.plans import planning as P
+from doclake.plans.requests import prices_request, reviews_request
+from doclake.sources import lines as L
+
+
+def lines(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_work_list_good_and_bad_lines(spark):
+    df = lines(spark, "7=70,71", "8=1,", "7=", "7", "x=1", "7=1,y", "", "9=1=2", "99999999999=1", "+5=-3")
+    good = sorted((r["wine_id"], tuple(r["vintage_ids"])) for r in rows(L.parse_work_list(df)))
+    assert good == [(5, (-3,)), (7, (70, 71)), (8, (1,))]
+    bad = {r["value"]: r["reason"] for r in rows(L.work_list_rejects(df))}
+    assert bad == {"7=": "no_vintages", "7": "not_one_equals", "x=1": "bad_id", "7=1,y": "bad_vintage_id",
+                   "": "not_one_equals", "9=1=2": "not_one_equals", "99999999999=1": "out_of_range"}
+
+
+def test_work_list_format_parse_round_trip(spark):
+    src = spark.createDataFrame([(1, [2, 3]), (4, [5])], "wine_id int, vintage_ids array<int>")
+    back = L.parse_work_list(L.format_work_list(src))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, src.collect()))
+
+
+def test_success_log(spark):
+    df = lines(spark, "wine [1864499] HANDLED with 9 review pages", "x wine [1] HANDLED with 2 review pages",
+               "wine [2] HANDLED with 2 review pages and more", "wine [99999999999] HANDLED with 1 review pages",
+               "winery [5] fetched")
+    assert [tuple(r) for r in L.parse_success_log(df).collect()] == [(1864499, 9)]
+    assert L.keep_matching(df).count() == 2  # the filter keeps the over-long id line too
+
+
+def test_not_found_log(spark):
+    df = lines(spark, "ERROR\tBad response(404 Not Found) wineryId=[12] proxy=h:1 => body",
+               "ERROR\tBad response(404 Not Found) wineryId=[12] proxy=h:2 => body",
+               "ERROR\tBad response(500 Internal Server Error) wineryId=[13] proxy=h:1 => x")
+    assert [r["winery_id"] for r in rows(L.parse_not_found_log(df))] == [12]
+
+
+def test_endpoints(spark):
+    df = lines(spark, "h1\t8080", "h1\t8080", "h2", "h3\tx80", "h4:81", "\t1")
+    assert sorted(map(tuple, L.parse_endpoints(df).collect())) == [("h1", 8080), ("h4", 81)]
+
+
+def test_numbered_lines_across_files_and_splits(spark, tmp):
+    os.makedirs(f"{tmp}/lists")
+    for i in range(3):
+        with open(f"{tmp}/lists/l{i}.txt", "w") as f:
+            f.write("".join(f"{i}-{k:05d}\n" for k in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = L.numbered_lines(spark, f"{tmp}/lists").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 9000
+    for r in got:
+        assert r["value"] == f"{r['file_name'][1]}-{r['line_no']:05d}" and r["n_lines"] == 3000
+
+
+def test_raw_list_trim(spark, tmp):
+    with open(f"{tmp}/raw.txt", "w") as f:
+        f.write("Banner\nsub banner\n\nh1:80 US-H -S\n\nh2:81\tx\nh3:82\nFree proxies: 3\n")
+    got = [r["value"] for r in rows(L.trim_raw_list(L.numbered_lines(spark, f"{tmp}/raw.txt")), "line_no")]
+    assert got == ["h1:80", "h2:81", "h3:82"]
+
+
+def test_stamped_lines(spark):
+    df = spark.createDataFrame([("h", 80)], "host string, port int").withColumn(
+        "ts", F.lit("2024-01-02 03:04:05.678").cast("timestamp_ntz"))
+    assert L.stamped_lines(df, "host", "port", "ts").first()[0] == "h\t80\t2024-01-02 03:04:05"
+
+
+def ids(spark, *v, name="wine_id"):
+    return spark.createDataFrame([(x,) for x in v], f"{name} int")
+
+
+def test_range_plan_excludes_saved_and_not_found(spark):
+    got = P.range_plan(spark, 10, 20, ids(spark, 11, 12, name="id"), ids(spark, 12, 20, 30, name="id"))
+    assert sorted(r[0] for r in got.collect()) == [10, 13, 14, 15, 16, 17, 18, 19]
+
+
+def test_resume_plan_cases(spark):
+    work = spark.createDataFrame([(1, [10]), (2, [20]), (3, [30]), (3, [30]), (4, [40, 41])],
+                                 "wine_id int, vintage_ids array<int>")
+    done = ids(spark, 1)
+    last = spark.createDataFrame([(1, 5), (2, 3), (9, 2)], "wine_id int, last_page int")
+    got = sorted((r["wine_id"], r["start_page"]) for r in P.resume_plan(work, done, last).collect())
+    assert got == [(2, 4), (3, 1), (4, 1)]  # 1 done, 2 resumes after page 3, 3 and 4 untouched
+    rep = rows(P.plan_report(work, done, last))[0]
+    assert rep == {"n_list_rows": 5, "n_list_ids": 4, "n_done": 1, "n_in_warehouse": 3, "n_errors": 2,
+                   "n_to_resume": 1, "n_untouched": 2}
+
+
+def test_backlog_counts_each_saved_row_once(spark):
+    got = rows(P.backlog_stats(ids(spark, 1, 1, 2, 3), ids(spark, 1, 4)))[0]
+    assert got == {"rows_to_load": 4, "rows_saved": 2, "distinct_not_loaded": 2}
+
+
+def test_last_pages_from_names(spark):
+    names = spark.createDataFrame([("wine-1-reviews-page-2-.json",), ("wine-1-reviews-page-10.json",),
+                                   ("wine-2-reviews-page-1-.json",), ("wine-3-prices-.json",),
+                                   ("wine-4-reviews-page-1-xjson",)], "file_name string")
+    got = sorted(map(tuple, P.last_pages(P.page_names(names)).collect()))
+    assert got == [(1, 10), (2, 1)]
+
+
+def test_dense_index_on_shuffled_input(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).alias("k")).repartition(7).distinct()
+    got = dense_index(df, ["k"], n_partitions=5).collect()
+    assert sorted((r["k"], r["idx"]) for r in got) == [(i, i) for i in range(5000)]
+
+
+def test_round_robin(spark):
+    plan = spark.range(0, 10).withColumnRenamed("id", "job")
+    targets = spark.createDataFrame([("b", 2), ("a", 1), ("c", 3)], "host string, rank int")
+    got = sorted((r["job"], r["host"]) for r in round_robin(plan, ["job"], targets, ["rank"]).collect())
+    assert [h for _, h in got] == ["a", "b", "c", "a", "b", "c", "a", "b", "c", "a"]
+
+
+def test_request_strings(spark):
+    df = spark.createDataFrame([(7, [1, 2])], "wine_id int, ids array<int>")
+    r = df.select(prices_request("ids", base="https://x.test").alias("p"),
+                  reviews_request(F.col("wine_id"), F.lit(3), base="https://x.test").alias("r")).first()
+    assert r["p"] == "https://x.test/api/prices?vintage_ids[]=1&vintage_ids[]=2"
+    assert r["r"] == "https://x.test/api/wines/7/reviews?page=3"

@@ -224,3 +224,29 @@ FROM pr
 @register("run_metrics", RUN_METRICS_SQL)
 def q_run_metrics(spark, root):
     return FL.prices_doc_stats(price_docs(spark, root))
+
+
+REVIEWS_TSV_SQL = f"""
+SELECT review_id, rating, note, language, created_at, user_id, user_seo_name, user_alias,
+       TRY_CAST(user_visblty AS BOOLEAN) AS user_visblty, user_followers_count, user_following_count,
+       user_ratings_count, vintage_id, vintage_seo_name, vintage_year, vintage_name,
+       vintge_stats_ratings_count, vintge_stats_ratings_average, vintge_stats_labels_count, vintge_wine_id,
+       vintge_wine_name, vintge_wine_region_id, NULLIF(vintge_wine_rgn_name, '') AS vintge_wine_rgn_name,
+       NULLIF(vintge_wine_rgn_cntry_code, '') AS vintge_wine_rgn_cntry_code,
+       NULLIF(vintge_wine_rgn_cntry_name, '') AS vintge_wine_rgn_cntry_name,
+       activity_id, activity_stats_likes_count, activity_stats_comments_count
+FROM ({REVIEWS_SQL})
+"""
+
+
+@register("reviews_tsv", REVIEWS_TSV_SQL)
+def q_reviews_tsv(spark, root):
+    """Flat reviews exported as TSV and loaded back with the table's typed
+    schema (empty text becomes NULL, non-boolean visibility becomes NULL)."""
+    from doclake.functions.schemas import REVIEWS_DDL
+    from doclake.session import scratch_path
+    from doclake.sinks.tsv import write_tsv
+    from doclake.sources.tsv import read_tsv
+    path = scratch_path(spark, "reviews-tsv")
+    write_tsv(FL.flatten_reviews(review_docs(spark, root)), path)
+    return read_tsv(spark, path, REVIEWS_DDL)

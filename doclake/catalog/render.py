@@ -29,9 +29,11 @@ REVIEW_PAGE_ROWS = 50
 WINES_PAGE_ROWS = 1000
 
 
-def with_pages(df: DataFrame, key: str, page_rows: int, spread) -> DataFrame:
-    """Add ``page`` = spread mod ceil(rows of the key / page_rows)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_key_rows"))
+def with_pages(df: DataFrame, key: str, page_rows: int, spread, counted: DataFrame | None = None) -> DataFrame:
+    """Add ``page`` = spread mod ceil(rows of the key / page_rows). The rows
+    per key are counted on ``counted`` (default ``df``): pass a narrow
+    DataFrame with the same rows so that wide inputs are not computed twice."""
+    counts = (counted if counted is not None else df).groupBy(key).agg(F.count(F.lit(1)).alias("_key_rows"))
     n_pages = F.ceil(F.col("_key_rows") / F.lit(page_rows))
     return (df.join(counts, key)
             .withColumn("page", F.pmod(spread, n_pages))
@@ -46,9 +48,12 @@ def review_docs(spark, root: str, page_rows: int = REVIEW_PAGE_ROWS) -> DataFram
     4 activity without statistics; 5-9 good. In every kind the region is
     missing for suppliers of nations 13+ and the activity for line 1."""
     t = Tables(spark, root)
-    base = (t.lineitem
-            .join(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"),
-                  F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"),
+                            F.col("l_orderkey") == F.col("o_orderkey"))
+    counted = t.lineitem.select("l_orderkey").join(
+        t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    lines = with_pages(lines, "l_orderkey", page_rows, F.col("l_linenumber") + F.col("l_partkey"), counted)
+    base = (lines
             .join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
             .join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
             .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
@@ -88,8 +93,7 @@ def review_docs(spark, root: str, page_rows: int = REVIEW_PAGE_ROWS) -> DataFram
         ).alias("activity"),
         F.lit(True).alias("unknown_field"),
     )
-    paged = with_pages(base, "l_orderkey", page_rows, F.col("l_linenumber") + F.col("l_partkey"))
-    pages = (paged.groupBy("l_orderkey", "page", "kind")
+    pages = (base.groupBy("l_orderkey", "page", "kind")
              .agg(F.collect_list(review).alias("reviews")))
     reviews = F.when(F.col("kind") == 1, F.array_append("reviews", F.lit(None))).otherwise(F.col("reviews"))
     body = F.when(F.col("kind") == 0, F.concat(F.lit("<html>not json "), F.col("l_orderkey").cast("string")))\
@@ -109,8 +113,13 @@ def wines_docs(spark, root: str, page_rows: int = WINES_PAGE_ROWS) -> DataFrame:
     missing for part sizes over 40; wine statistics are missing for sizes
     divisible by 7 and lack the average for sizes 1 mod 7."""
     t = Tables(spark, root)
-    base = (t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                              "l_extendedprice", "l_shipdate")
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                           "l_extendedprice", "l_shipdate")
+    counted = (li.select("l_partkey", "l_suppkey")
+               .join(t.part.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
+               .join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey")), "l_suppkey", "left_semi"))
+    paged = with_pages(li, "l_suppkey", page_rows, F.col("l_orderkey"), counted)
+    base = (paged
             .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
             .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
@@ -122,10 +131,9 @@ def wines_docs(spark, root: str, page_rows: int = WINES_PAGE_ROWS) -> DataFrame:
         year.alias("year"), F.concat_ws(" ", "p_name", year).alias("name"),
         F.struct(F.col("l_linenumber").alias("ratings_count"), F.col("l_extendedprice").alias("ratings_average"),
                  F.col("l_quantity").alias("labels_count")).alias("statistics"))
-    paged = with_pages(base, "s_suppkey", page_rows, F.col("l_orderkey"))
     wine_cols = ["p_name", "p_size", "p_retailprice", "s_name", "s_nationkey", "s_acctbal",
                  "n_nationkey", "n_name", "r_regionkey", "r_name"]
-    per_wine = (paged.groupBy("s_suppkey", "page", "kind", "p_partkey")
+    per_wine = (base.groupBy("s_suppkey", "page", "kind", "p_partkey")
                 .agg(F.sort_array(F.collect_list(vintage)).alias("vintages"),
                      *[F.any_value(c).alias(c) for c in wine_cols]))
     kind, size = F.col("kind"), F.col("p_size")

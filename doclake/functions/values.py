@@ -60,7 +60,13 @@ def id_from_name(name, regex: str, group: int = 1) -> Column:
 
 def dedup_entries_last_wins(entries: Column) -> Column:
     """Keep, for each key of an array of map entries, only its last entry
-    (JSON objects with a repeated field name: the last one wins)."""
-    return F.filter(entries, lambda e, i: (i + 1 == F.size(entries)) | ~F.exists(
-        F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(1))),
-        lambda x: x["key"] == e["key"]))
+    (JSON objects with a repeated field name: the last one wins).
+
+    Entries are tagged with their position, sorted by (key, position) and an
+    entry is kept when the next one has another key: O(n log n) per row."""
+    tagged = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("pos"),
+                                                        e["value"].alias("value")))
+    ordered = F.array_sort(tagged)
+    kept = F.filter(ordered, lambda e, i: (i + 1 == F.size(ordered))
+                    | (F.get(ordered, i + 1)["key"] != e["key"]))
+    return F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))

@@ -63,3 +63,14 @@ def winery_addresses(pages: DataFrame, id_col: str = "winery_id", seo_col: str =
     wm = F.trim(F.regexp_replace(F.coalesce("winemaker", F.lit("")), "^" + WINEMAKER_PREFIX, ""))
     return out.select(F.col(id_col).alias("winery_id"), F.col(seo_col).alias("seo_name"), wm.alias("winemaker"),
                       *[F.coalesce(c, F.lit("")).alias(c) for c in ("address", "web", "email")])
+
+
+def winery_pages(docs: DataFrame) -> DataFrame:
+    """Raw documents of winery pages -> ``(winery_id, seo_name, html)`` with
+    the id and name taken from ``winary-<id>-<seo_name>.html``."""
+    from doclake.operators.flatten import HTML_FILE_RE
+    n = F.col("file_name")
+    return (docs.filter(n.rlike(HTML_FILE_RE))
+            .select(F.regexp_extract(n, HTML_FILE_RE, 1).try_cast("int").alias("winery_id"),
+                    F.regexp_extract(n, HTML_FILE_RE, 2).alias("seo_name"),
+                    F.col("body").alias("html")))

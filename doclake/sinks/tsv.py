@@ -7,7 +7,7 @@ Each task writes its own part file; no single writer."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 TSV_OPTIONS = {
@@ -22,11 +22,16 @@ TSV_OPTIONS = {
 }
 
 
-def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
-    """Write ``df`` as TSV part files under ``path``. Non-string columns are
-    written as their string form (dates ISO, booleans true/false)."""
+def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> int:
+    """Write ``df`` as TSV part files under ``path``; returns the number of
+    rows written (counted by an observation during the write job itself, no
+    second pass). Non-string columns are written as their string form (dates
+    ISO, booleans true/false)."""
     cols = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
-    df.select(*cols).write.mode(mode).options(**TSV_OPTIONS).option("header", str(header).lower()).csv(path)
+    obs = Observation("tsv_rows")
+    (df.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode(mode).options(**TSV_OPTIONS).option("header", str(header).lower()).csv(path))
+    return int(obs.get["rows"])
 
 
 def write_lines(df: DataFrame, path: str, col: str = "value", mode: str = "errorifexists") -> None:

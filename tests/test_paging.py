@@ -1,0 +1,37 @@
+"""Documents split into more pages (as a hot key would be) flatten to the
+same rows: paging changes file boundaries, never content."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from doclake.catalog.render import review_docs, wines_docs
+from doclake.operators import flatten as FL
+
+ROOT = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.exists(f"{ROOT}/lineitem.parquet"), reason="no test data")
+
+
+def multiset(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_review_pages_split_hot_orders(spark):
+    small = review_docs(spark, ROOT, page_rows=2)
+    assert small.count() > review_docs(spark, ROOT).count()
+    assert multiset(FL.flatten_reviews(small)) == multiset(FL.flatten_reviews(review_docs(spark, ROOT)))
+
+
+def test_wines_pages_split_hot_suppliers(spark):
+    small = wines_docs(spark, ROOT, page_rows=7)
+    big = wines_docs(spark, ROOT)
+    assert small.count() > 5 * big.count()
+    a = FL.flatten_vintages(small).drop("wine_file")
+    b = FL.flatten_vintages(big).drop("wine_file")
+    assert multiset(a) == multiset(b)
+    # every page holds about page_rows vintages, never a whole supplier
+    sizes = FL.parse_wines(small).select(
+        F.aggregate(F.transform("doc.wines", lambda w: F.size(F.coalesce(w["vintages"], F.array()))),
+                    F.lit(0), lambda a, x: a + x).alias("n")).agg(F.max("n")).first()[0]
+    assert sizes < 7 * 6

@@ -144,3 +144,7 @@ def test_wide_join_and_coverage_invariant(spark):
         "ab": F.col("amount").isNotNull() & F.col("note").isNotNull()}).collect()}
     assert c == {"a": 4, "b": 3, "ab": 2, "all": 5}
     assert c["ab"] <= min(c["a"], c["b"]) <= c["all"]
+
+
+def test_html_legacy_entities_without_semicolon():
+    assert extract("<title>A &amp B &lt C&amp;</title>", ["title"]) == [["A & B < C&"]]

@@ -90,7 +90,7 @@ def flatten_reviews(docs: DataFrame) -> DataFrame:
     A missing region gives id -1 and empty names, a missing activity gives
     -1 for its three numbers (present objects with NULL fields stay NULL).
     Notes have every whitespace character replaced by a space."""
-    parsed = parse_reviews(docs).filter(reviews_valid(F.col("doc")))
+    parsed = parse_reviews(docs)
     r = F.col("r")
     region, activity = r["vintage"]["wine"]["region"], r["activity"]
     stats = r["vintage"]["statistics"]
@@ -131,7 +131,11 @@ def flatten_reviews(docs: DataFrame) -> DataFrame:
         act(activity["statistics"]["likes_count"]).alias("activity_stats_likes_count"),
         act(activity["statistics"]["comments_count"]).alias("activity_stats_comments_count"),
     ]
-    return parsed.select(F.explode("doc.reviews").alias("r")).select(*cols)
+    # Validity gates the array that is exploded (an invalid document gives no
+    # rows) instead of a filter: a filter would get the parse inlined into its
+    # condition and the document would be parsed twice.
+    doc = F.col("doc")
+    return parsed.select(F.explode(F.when(reviews_valid(doc), doc["reviews"])).alias("r")).select(*cols)
 
 
 # --------------------------------------------------------------------------- wines / vintages
@@ -163,11 +167,11 @@ def flatten_vintages(docs: DataFrame) -> DataFrame:
     NULL wines and NULL vintages are skipped; wines whose winery id differs
     from the id in the file name are skipped (row level); missing objects on a
     path give NULL fields."""
-    file_name = F.col("file_name")
-    parsed = (parse_wines(docs)
-              .filter(wines_valid(F.col("doc"), file_name))
-              .withColumn("file_winery", F.regexp_extract(file_name, WINES_FILE_RE, 1).try_cast("int")))
-    w = (parsed.select("file_name", "file_winery", F.explode("doc.wines").alias("w"))
+    file_name, doc = F.col("file_name"), F.col("doc")
+    parsed = parse_wines(docs)
+    file_winery = F.regexp_extract(file_name, WINES_FILE_RE, 1).try_cast("int")
+    w = (parsed.select("file_name", file_winery.alias("file_winery"),
+                       F.explode(F.when(wines_valid(doc, file_name), doc["wines"])).alias("w"))
          .filter(F.col("w").isNotNull() & (to_int(F.col("w.winery.id")) == F.col("file_winery"))))
     v = w.select("file_name", "w", F.explode("w.vintages").alias("v")).filter(F.col("v").isNotNull())
     wc, vc = F.col("w"), F.col("v")
@@ -213,15 +217,17 @@ def winery_info(docs: DataFrame) -> DataFrame:
     all belong to one winery. Documents with a NULL wine, with several
     distinct wineries, or whose only winery is NULL give no record; a document
     without wines gives none either."""
-    parsed = parse_wines(docs).filter(F.col("file_name").rlike(WINES_FILE_RE))
+    parsed = parse_wines(docs.filter(F.col("file_name").rlike(WINES_FILE_RE)))
     wines = F.col("doc.wines")
     wineries = F.array_distinct(F.transform(wines, lambda w: w["winery"]))
     first = F.get(wineries, 0)
     ok = (wines.isNotNull() & _all(wines, lambda w: w.isNotNull())
           & (F.size(wineries) == 1) & first.isNotNull())
-    return (parsed.filter(F.coalesce(ok, F.lit(False)))
-            .select(to_int(first["id"]).alias("winery_id"), first["seo_name"].alias("seo_name"),
-                    "file_name"))
+    # zero or one record per document, produced inside the parsing projection
+    rec = F.when(F.coalesce(ok, F.lit(False)), F.array(F.struct(
+        to_int(first["id"]).alias("winery_id"), first["seo_name"].alias("seo_name"))))
+    return (parsed.select("file_name", F.explode(rec).alias("w"))
+            .select("w.winery_id", "w.seo_name", "file_name"))
 
 
 def worklist_lines(docs: DataFrame) -> DataFrame:
@@ -232,7 +238,7 @@ def worklist_lines(docs: DataFrame) -> DataFrame:
     document's own arrays carry the order, so no shuffle is needed: the group
     is built with array functions inside the row. Documents with a NULL wine
     or a NULL vintage list / element cannot be exported and give no lines."""
-    parsed = parse_wines(docs).filter(F.col("file_name").rlike(WINES_FILE_LOOSE_RE))
+    parsed = parse_wines(docs.filter(F.col("file_name").rlike(WINES_FILE_LOOSE_RE)))
     wines = F.col("doc.wines")
     ok = (wines.isNotNull()
           & _all(wines, lambda w: w.isNotNull() & w["vintages"].isNotNull()
@@ -242,8 +248,7 @@ def worklist_lines(docs: DataFrame) -> DataFrame:
         i.alias("wine_id"),
         F.flatten(F.transform(F.filter(wines, lambda w: w["id"] == i),
                               lambda w: F.transform(w["vintages"], lambda x: x["id"]))).alias("vintage_ids")))
-    return (parsed.filter(F.coalesce(ok, F.lit(False)))
-            .select("file_name", F.explode(groups).alias("g"))
+    return (parsed.select("file_name", F.explode(F.when(F.coalesce(ok, F.lit(False)), groups)).alias("g"))
             .select("file_name", to_int("g.wine_id").alias("wine_id"),
                     F.transform("g.vintage_ids", to_int).alias("vintage_ids"))
             .select("file_name", "wine_id",
@@ -279,8 +284,9 @@ def flatten_prices(docs: DataFrame) -> DataFrame:
     null give zero rows but keep the document; a missing currency or
     ``vintages`` drops it."""
     fn, body = F.col("file_name"), F.col("body")
-    parsed = parse_prices(docs).filter(prices_valid(F.col("doc"), body, fn))
-    entries = dedup_entries_last_wins(F.map_entries(F.col("doc.prices.vintages")))
+    parsed = parse_prices(docs)
+    valid = prices_valid(F.col("doc"), body, fn)
+    entries = F.when(valid, dedup_entries_last_wins(F.map_entries(F.col("doc.prices.vintages"))))
     e = F.col("e")
     return (parsed
             .select(F.regexp_extract(fn, PRICES_FILE_RE, 1).try_cast("int").alias("wine_id"),

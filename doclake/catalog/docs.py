@@ -250,3 +250,27 @@ def q_reviews_tsv(spark, root):
     path = scratch_path(spark, "reviews-tsv")
     write_tsv(FL.flatten_reviews(review_docs(spark, root)), path)
     return read_tsv(spark, path, REVIEWS_DDL)
+
+
+@register("duplicate_vintage_keys", f"""
+SELECT winery__id, wine_id, vintages__id, count(*) AS n_rows
+FROM ({VINTAGES_SQL}) GROUP BY winery__id, wine_id, vintages__id HAVING count(*) > 1
+""")
+def q_duplicate_vintage_keys(spark, root):
+    """The flat vintages table checked for repeated (winery, wine, vintage)."""
+    from doclake.operators.wide import duplicate_keys
+    return duplicate_keys(FL.flatten_vintages(wines_docs(spark, root)), ["winery__id", "wine_id", "vintages__id"])
+
+
+@register("export_counters", f"""
+SELECT count(*) AS n_lines, count(DISTINCT wine_id) AS n_wines,
+       CAST(sum(length(line) - length(replace(line, ',', '')) + 1) AS BIGINT) AS n_vintages
+FROM ({WORKLIST_SQL})
+""")
+def q_export_counters(spark, root):
+    """Counters of the work-list export: lines written, distinct wines,
+    vintage ids listed (one aggregate over the export)."""
+    lines = FL.worklist_lines(wines_docs(spark, root))
+    n_ids = F.size(F.split(F.regexp_extract("line", "=(.*)$", 1), ","))
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("wine_id").alias("n_wines"),
+                     F.sum(n_ids).cast("bigint").alias("n_vintages"))

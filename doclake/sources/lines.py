@@ -134,7 +134,9 @@ def trim_raw_list(numbered: DataFrame, head: int = 3, tail: int = 1) -> DataFram
             .filter(F.col("value") != ""))
 
 
-def stamped_lines(df: DataFrame, host: str, port: str, ts: str) -> DataFrame:
-    """``host<TAB>port<TAB>yyyy-MM-dd HH:mm:ss`` lines."""
+def stamped_lines(df: DataFrame, host: str, port: str, ts: str | None = None) -> DataFrame:
+    """``host<TAB>port<TAB>yyyy-MM-dd HH:mm:ss`` lines, stamped with the
+    ``ts`` column or, when None, with the query's current time."""
+    stamp = F.col(ts) if ts else F.current_timestamp()
     return df.select(F.concat_ws("\t", F.col(host), F.col(port).cast("string"),
-                                 F.date_format(F.col(ts), "yyyy-MM-dd HH:mm:ss")).alias("value"))
+                                 F.date_format(stamp, "yyyy-MM-dd HH:mm:ss")).alias("value"))

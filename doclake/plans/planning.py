@@ -34,7 +34,8 @@ def minus_saved(items: DataFrame, saved_ids: DataFrame, key: str, distinct: bool
 def page_names(file_names: DataFrame, name_col: str = "file_name") -> DataFrame:
     """Review page file names -> ``(wine_id, page)``; other names skipped."""
     n = F.col(name_col)
-    return (file_names.filter(n.rlike(REVIEWS_FILE_RE))
+    # an empty capture means no match: no separate rlike pass
+    return (file_names
             .select(F.regexp_extract(n, REVIEWS_FILE_RE, 1).try_cast("int").alias("wine_id"),
                     F.regexp_extract(n, REVIEWS_FILE_RE, 2).try_cast("int").alias("page"))
             .filter(F.col("wine_id").isNotNull() & F.col("page").isNotNull()))

@@ -52,29 +52,43 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- work list
 
-def _work_list_parts(lines: DataFrame) -> DataFrame:
+WORK_LINE_RE = r"^[+-]?\d+=[+-]?\d+(,[+-]?\d+)*,*$"
+
+
+def _work_list_ids(lines: DataFrame) -> DataFrame:
+    """Shape check by one anchored regex (no per-element lambdas), then the
+    split and the int conversion; out-of-range numbers give NULL elements."""
     v = F.col("value")
-    parts = F.split(v, "=", -1)
-    ids_text = F.regexp_replace(F.get(parts, 1), ",+$", "")
-    ids = F.split(ids_text, ",", -1)
-    reason = (F.when(F.size(parts) != 2, F.lit("not_one_equals"))
-              .when(~F.get(parts, 0).rlike(INT_RE), F.lit("bad_id"))
-              .when(ids_text == "", F.lit("no_vintages"))
-              .when(~F.forall(ids, lambda x: x.rlike(INT_RE)), F.lit("bad_vintage_id"))
-              .when(F.get(parts, 0).try_cast("int").isNull()
-                    | F.exists(ids, lambda x: x.try_cast("int").isNull()), F.lit("out_of_range")))
-    return lines.select("*", F.get(parts, 0).alias("_id"), ids.alias("_ids"), reason.alias("reason"))
+    parts = F.split(v, "=", 2)
+    ids = F.split(F.regexp_replace(F.get(parts, 1), ",+$", ""), ",", -1)
+    return lines.select("value", v.rlike(WORK_LINE_RE).alias("_shape"),
+                        F.get(parts, 0).try_cast("int").alias("wine_id"),
+                        F.transform(ids, lambda x: x.try_cast("int")).alias("vintage_ids"))
 
 
 def parse_work_list(lines: DataFrame) -> DataFrame:
-    """``<wine_id>=<v1>,<v2>,...`` -> ``(wine_id int, vintage_ids array<int>)``."""
-    p = _work_list_parts(lines).filter(F.col("reason").isNull())
-    return p.select(F.col("_id").try_cast("int").alias("wine_id"),
-                    F.transform("_ids", lambda x: x.try_cast("int")).alias("vintage_ids"))
+    """``<wine_id>=<v1>,<v2>,...`` -> ``(wine_id int, vintage_ids array<int>)``.
+    Trailing commas are allowed; anything else malformed is left out (see
+    :func:`work_list_rejects`)."""
+    p = _work_list_ids(lines)
+    ok = (F.col("_shape") & F.col("wine_id").isNotNull()
+          & F.forall("vintage_ids", lambda x: x.isNotNull()))
+    return p.filter(ok).select("wine_id", "vintage_ids")
 
 
 def work_list_rejects(lines: DataFrame) -> DataFrame:
-    return _work_list_parts(lines).filter(F.col("reason").isNotNull()).select("value", "reason")
+    """Malformed lines with the first reason found."""
+    v = F.col("value")
+    parts = F.split(v, "=", -1)
+    ids_text = F.regexp_replace(F.get(parts, 1), ",+$", "")
+    p = _work_list_ids(lines)
+    reason = (F.when(F.size(parts) != 2, F.lit("not_one_equals"))
+              .when(~F.get(parts, 0).rlike(INT_RE), F.lit("bad_id"))
+              .when(ids_text == "", F.lit("no_vintages"))
+              .when(~F.col("_shape"), F.lit("bad_vintage_id"))
+              .when(F.col("wine_id").isNull() | F.exists("vintage_ids", lambda x: x.isNull()),
+                    F.lit("out_of_range")))
+    return p.select("value", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def format_work_list(df: DataFrame, id_col: str = "wine_id", ids_col: str = "vintage_ids") -> DataFrame:
@@ -93,10 +107,10 @@ def parse_success_log(lines: DataFrame) -> DataFrame:
     """Finished wines from the run log: ``(wine_id, n_pages)``. Lines of
     other messages are skipped; ids beyond 32 bits are skipped."""
     v = F.col("value")
+    # an empty capture means no match: no separate rlike pass
     wid = F.regexp_extract(v, SUCCESS_RE, 1).try_cast("int")
     pages = F.regexp_extract(v, SUCCESS_RE, 2).try_cast("int")
-    return (lines.filter(v.rlike(SUCCESS_RE))
-            .select(wid.alias("wine_id"), pages.alias("n_pages"))
+    return (lines.select(wid.alias("wine_id"), pages.alias("n_pages"))
             .filter(F.col("wine_id").isNotNull() & F.col("n_pages").isNotNull()))
 
 

@@ -148,3 +148,25 @@ def test_wide_join_and_coverage_invariant(spark):
 
 def test_html_legacy_entities_without_semicolon():
     assert extract("<title>A &amp B &lt C&amp;</title>", ["title"]) == [["A & B < C&"]]
+
+
+def test_wide_coverage_both_plans_match_the_built_table(spark):
+    from doclake.operators.wide import wide_coverage, wide_distinct_vintage_keys
+    fact = spark.createDataFrame([(1, 10, 100, "n1"), (2, 10, 101, None), (3, None, 100, "n3"), (4, 11, 102, "n4"),
+                                  (5, 10, None, "n5"), (6, 12, 100, None)],
+                                 "id int, vid int, sid int, note string")
+    prices = spark.createDataFrame([(10, 1.5), (10, None), (12, 3.0)], "pvid int, amount double")
+    vint = spark.createDataFrame([(100, "a"), (101, None), (100, "c")], "vsid int, name string")
+    keys = dict(fact_price_key="vid", price_key="pvid", fact_vintage_key="sid", vintage_key="vsid")
+    measures = {"amount": ["amount"], "name": ["name"], "note": ["note"], "all3": ["amount", "name", "note"]}
+    built = wide_join(fact, prices, vint, **keys)
+    want = {r["metric"]: r["n"] for r in coverage_counts(built, {
+        k: __import__("functools").reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cs])
+        for k, cs in measures.items()}).collect()}
+    for rows_budget in (0, 1000):
+        got = {r["metric"]: r["n"] for r in wide_coverage(fact, prices, vint, **keys, measures=measures,
+                                                         broadcast_rows=rows_budget).collect()}
+        assert got == want
+    n = wide_distinct_vintage_keys(fact, vint, fact_price_key="vid", fact_vintage_key="sid",
+                                   vintage_key="vsid").first()[0]
+    assert n == built.select("vsid").distinct().dropna().count()

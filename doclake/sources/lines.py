@@ -52,16 +52,25 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- work list
 
-WORK_LINE_RE = r"^[+-]?\d+=[+-]?\d+(,[+-]?\d+)*,*$"
+# Shape of a work-list line, checked without a repeated group (Java's regex
+# engine recurses once per repetition of a group, which overflows the stack
+# on very long lines): an id, "=", then signs, digits and commas only, with
+# no empty element and no sign that is not in front of a number.
+WORK_ID_RE = r"^[+-]?[0-9]+="
+WORK_IDS_RE = r"^[+-]?[0-9][0-9+,-]*$"
+WORK_IDS_BAD_RE = r",,|[+-][^0-9]|[0-9][+-]|[+-]$"
 
 
 def _work_list_ids(lines: DataFrame) -> DataFrame:
-    """Shape check by one anchored regex (no per-element lambdas), then the
-    split and the int conversion; out-of-range numbers give NULL elements."""
+    """Shape check by flat regexes (no per-element lambdas, no recursion),
+    then the split and the int conversion; out-of-range numbers give NULL
+    elements."""
     v = F.col("value")
     parts = F.split(v, "=", 2)
-    ids = F.split(F.regexp_replace(F.get(parts, 1), ",+$", ""), ",", -1)
-    return lines.select("value", v.rlike(WORK_LINE_RE).alias("_shape"),
+    ids_text = F.regexp_replace(F.get(parts, 1), ",+$", "")
+    shape = v.rlike(WORK_ID_RE) & ids_text.rlike(WORK_IDS_RE) & ~ids_text.rlike(WORK_IDS_BAD_RE)
+    ids = F.split(ids_text, ",", -1)
+    return lines.select("value", F.coalesce(shape, F.lit(False)).alias("_shape"),
                         F.get(parts, 0).try_cast("int").alias("wine_id"),
                         F.transform(ids, lambda x: x.try_cast("int")).alias("vintage_ids"))
 

@@ -170,3 +170,19 @@ def test_wide_coverage_both_plans_match_the_built_table(spark):
     n = wide_distinct_vintage_keys(fact, vint, fact_price_key="vid", fact_vintage_key="sid",
                                    vintage_key="vsid").first()[0]
     assert n == built.select("vsid").distinct().dropna().count()
+
+
+def test_tsv_reader_accepts_crlf_files(spark, tmp):
+    with open(f"{tmp}/crlf.tsv", "w", newline="") as f:
+        f.write('a\tb\r\n1\tx\r\n2\t"multi\r\nline"\r\n')
+    got = sorted(map(tuple, read_tsv(spark, f"{tmp}/crlf.tsv", "a int, b string").collect()))
+    assert got[0] == (1, "x") and got[1][0] == 2 and got[1][1].startswith("multi")
+
+
+def test_wide_join_keep_key(spark):
+    fact = spark.createDataFrame([(1, 10, 100)], "id int, vid int, sid int")
+    prices = spark.createDataFrame([(10, "x")], "vid int, p string")
+    vint = spark.createDataFrame([(100, "a")], "sid int, name string")
+    w = wide_join(fact, prices, vint, fact_price_key="vid", price_key="vid", fact_vintage_key="sid",
+                  vintage_key="sid", keep_key=True)
+    assert w.columns == ["id", "vid", "sid", "price_vid", "p", "vintage_sid", "name"]

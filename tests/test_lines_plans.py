@@ -131,3 +131,9 @@ def test_request_strings(spark):
                   reviews_request(F.col("wine_id"), F.lit(3), base="https://x.test").alias("r")).first()
     assert r["p"] == "https://x.test/api/prices?vintage_ids[]=1&vintage_ids[]=2"
     assert r["r"] == "https://x.test/api/wines/7/reviews?page=3"
+
+
+def test_no_line_length_limit(spark):
+    ids = ",".join(str(i) for i in range(20000))
+    got = L.parse_work_list(lines(spark, f"7={ids}")).first()
+    assert got["wine_id"] == 7 and len(got["vintage_ids"]) == 20000

@@ -1,0 +1,35 @@
+"""Property tests: random inputs in one Spark job against small Python
+models of the rules."""
+
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from doclake.sources import lines as L
+
+TOKENS = ["1", "23", "-4", "+5", "x", ",", ",,", "=", "", " ", "99999999999", "0", "7"]
+
+
+def model(line: str):
+    """A good line: int id, '=', one or more ints separated by commas, with
+    any number of trailing commas; every number within 32 bits."""
+    m = re.fullmatch(r"([+-]?\d+)=((?:[+-]?\d+,)*[+-]?\d+),*", line)
+    if not m:
+        return None
+    nums = [int(m.group(1))] + [int(x) for x in m.group(2).split(",")]
+    if any(not -2**31 <= n < 2**31 for n in nums):
+        return None
+    return nums[0], tuple(nums[1:])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(TOKENS), min_size=0, max_size=8).map("".join),
+                min_size=50, max_size=200))
+def test_work_list_parser_matches_model(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    parsed = L.parse_work_list(df)
+    rows = sorted((r["wine_id"], tuple(r["vintage_ids"])) for r in parsed.collect())
+    want = sorted(m for m in (model(v) for v in values) if m is not None)
+    assert rows == want
+    assert L.work_list_rejects(df).count() == sum(model(v) is None for v in values)

@@ -48,20 +48,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator of the cluster (a shared file
-    system); it is read from the session. Only when it is unset (local tests)
-    a fresh local folder is created and registered.
+    system); it is read from the session. Only when it is unset in a local
+    run (tests) a fresh local folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext handle (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="doclake-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if sc is None:
+            try:
+                spark.conf.set("spark.checkpoint.dir", configured)
+            except Exception:  # a core setting some sessions refuse at runtime
+                pass
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

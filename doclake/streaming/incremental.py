@@ -34,10 +34,27 @@ def ingest_available(spark: SparkSession, folder: str, sink: str, checkpoint: st
     rows to the parquet table ``sink``; returns when all available files are
     done."""
     rows = transform(document_stream(spark, folder, name_regex, max_files_per_trigger))
-    q = (rows.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start(sink))
-    q.awaitTermination()
+    # Each micro-batch names its new files one by one; above a few dozen
+    # paths Spark stats them with a parallel job of up to one task per file.
+    # Bound that job to a few tasks per core for this run (the stream copies
+    # the session's settings in its own thread), then restore the session.
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:
+        cores = 64
+    spark.conf.set(key, str(max(8, min(int(before or 10000), cores * 4))))
+    try:
+        q = (rows.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start(sink))
+        q.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     if q.exception() is not None:
         raise q.exception()

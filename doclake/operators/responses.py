@@ -55,29 +55,28 @@ def page_runs(pages: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     ``kept_pages`` (run length), ``finished`` and ``n_pages`` = run length +
     start - 1 (the page count of the success message).
 
-    Plan: the first missing page is found by an anti join of the pages with
-    themselves shifted by one (hash partitioned on (wine, page), so one wine
-    with very many pages is spread over many tasks); the first bad page by a
-    partial min aggregate. No window over a wine's pages."""
+    Plan: every page learns whether its successor exists from one left join
+    of the pages with themselves shifted by one (hash partitioned on
+    (wine, page), so one wine with very many pages is spread over many
+    tasks); one per-wine aggregate with partial (map-side) merging then gives
+    the first missing page, the first bad page with its state and whether
+    the start page exists. No window over a wine's pages."""
     p = pages.select("wine_id", "page_no", "state").dropDuplicates(["wine_id", "page_no"])
     if starts is None:
         starts = p.select("wine_id").distinct().withColumn("start_page", F.lit(1))
     p = p.join(starts, "wine_id").filter(F.col("page_no") >= F.col("start_page"))
-    nxt = p.select("wine_id", (F.col("page_no") - 1).alias("page_no"))
-    gaps_after = (p.join(nxt, ["wine_id", "page_no"], "left_anti")
-                  .groupBy("wine_id").agg(F.min(F.col("page_no") + 1).alias("first_gap")))
-    bad = (p.filter(F.col("state") != "ok")
-           .groupBy("wine_id").agg(F.min("page_no").alias("first_bad"),
-                                   F.min_by("state", "page_no").alias("bad_state")))
-    has_start = (p.filter(F.col("page_no") == F.col("start_page"))
-                 .select("wine_id", F.lit(True).alias("has_start")))
-    s = (starts.join(gaps_after, "wine_id", "left").join(bad, "wine_id", "left")
-         .join(has_start, "wine_id", "left"))
-    gap = F.when(F.col("has_start").isNull(), F.col("start_page")).otherwise(F.col("first_gap"))
-    stop = F.least(gap, F.coalesce(F.col("first_bad"), gap))
-    finished = F.coalesce((F.col("first_bad") == stop) & (F.col("bad_state") == "empty")
-                          & F.col("has_start").isNotNull() & (F.col("first_bad") < F.coalesce(gap, F.lit(2**31 - 1))),
-                          F.lit(False))
+    nxt = p.select("wine_id", (F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next"))
+    per_wine = (p.join(nxt, ["wine_id", "page_no"], "left")
+                .groupBy("wine_id")
+                .agg(F.min(F.when(F.col("has_next").isNull(), F.col("page_no") + 1)).alias("first_gap"),
+                     F.min(F.when(F.col("state") != "ok", F.struct("page_no", "state"))).alias("bad"),
+                     F.max(F.col("page_no") == F.col("start_page")).alias("has_start")))
+    s = starts.join(per_wine, "wine_id", "left")
+    has_start = F.coalesce(F.col("has_start"), F.lit(False))
+    gap = F.when(~has_start, F.col("start_page")).otherwise(F.col("first_gap"))
+    first_bad = F.col("bad.page_no")
+    stop = F.least(gap, F.coalesce(first_bad, gap))
+    finished = F.coalesce(has_start & (first_bad == stop) & (F.col("bad.state") == "empty"), F.lit(False))
     kept = (stop - F.col("start_page")).cast("int")
     return s.select("wine_id", kept.alias("kept_pages"), finished.alias("finished"),
                     (kept + F.col("start_page") - 1).cast("int").alias("n_pages"))

@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doclake.functions import schemas as S
-from doclake.functions.values import (clean_ws, dedup_entries_last_wins, primitive_float,
-                                      to_bool, to_float, to_int)
+from doclake.functions.json import present as json_present
+from doclake.functions.values import clean_ws, dedup_entries_last_wins, primitive_float, to_float, to_int
 
 # File-name patterns (fixed values, anchored; the dot before the extension is literal).
 WINES_FILE_RE = r"^wines-(\d+)-(\d+)-(\d+)-\.json$"
@@ -33,7 +33,7 @@ HTML_FILE_RE = r"^winary-(\d+)-(.*)\.html$"
 def _json_present(body: str, path: str) -> Column:
     """True when ``path`` exists in the document, also when its value is
     JSON null or an empty array (not when the field is missing)."""
-    return F.expr(f"try_variant_get(try_parse_json(`{body}`), '{path}', 'variant')").isNotNull()
+    return json_present(body, path)
 
 
 def _all(arr: Column, pred) -> Column:

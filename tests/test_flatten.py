@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import docs_df, rows
 from doclake.functions.schemas import PRICES_COLUMNS, REVIEWS_COLUMNS, VINTAGES_COLUMNS

@@ -274,3 +274,26 @@ def q_export_counters(spark, root):
     n_ids = F.size(F.split(F.regexp_extract("line", "=(.*)$", 1), ","))
     return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("wine_id").alias("n_wines"),
                      F.sum(n_ids).cast("bigint").alias("n_vintages"))
+
+
+@register("wines_quarantine", f"""
+WITH {WINES_PAGES_SQL}
+SELECT CASE kind WHEN 3 THEN 'null_winery' WHEN 4 THEN 'null_vintages' ELSE 'ok' END AS reason,
+       count(*) AS n_docs
+FROM (SELECT DISTINCT l_suppkey, page, kind FROM pg) GROUP BY 1
+""")
+def q_wines_quarantine(spark, root):
+    q = FL.quarantine(wines_docs(spark, root), "wines")
+    return (q.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n_docs")))
+
+
+@register("prices_quarantine", """
+SELECT CASE l_partkey % 9 WHEN 4 THEN 'no_currency' WHEN 7 THEN 'no_vintages' ELSE 'ok' END AS reason,
+       count(*) AS n_docs
+FROM (SELECT DISTINCT l_partkey FROM lineitem) GROUP BY 1
+""")
+def q_prices_quarantine(spark, root):
+    q = FL.quarantine(price_docs(spark, root), "prices")
+    return (q.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n_docs")))

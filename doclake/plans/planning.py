@@ -35,13 +35,17 @@ def page_names(file_names: DataFrame, name_col: str = "file_name") -> DataFrame:
     """Review page file names -> ``(wine_id, page)``; other names skipped."""
     n = F.col(name_col)
     # one anchored match validates the name; the numbers are then at fixed
-    # places of ``wine-<id>-reviews-page-<page>[-].json`` split on '-' and '.'
-    # (cheaper than one regex capture per field)
-    parts = F.split(n, "[-.]")
+    # places of ``wine-<id>-reviews-page-<page>[-].json`` split on '-' (a
+    # one-character split, no regex), cheaper than one capture per field
+    parts = F.split(n, "-")
+    vals = F.struct(F.get(parts, 1).try_cast("int").alias("wine_id"),
+                    F.substring_index(F.get(parts, 4), ".", 1).try_cast("int").alias("page"))
+    # the values are materialised (one-element explode) before the range
+    # filter, which cannot then be pushed below and recompute them
     return (file_names.filter(n.rlike(REVIEWS_FILE_RE))
-            .select(F.get(parts, 1).try_cast("int").alias("wine_id"),
-                    F.get(parts, 4).try_cast("int").alias("page"))
-            .filter(F.col("wine_id").isNotNull() & F.col("page").isNotNull()))
+            .select(F.explode(F.array(vals)).alias("r"))
+            .filter(F.col("r.wine_id").isNotNull() & F.col("r.page").isNotNull())
+            .select("r.wine_id", "r.page"))
 
 
 def last_pages(pages: DataFrame) -> DataFrame:

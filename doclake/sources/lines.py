@@ -61,6 +61,13 @@ WORK_IDS_RE = r"^[+-]?[0-9][0-9+,-]*$"
 WORK_IDS_BAD_RE = r",,|[+-][^0-9]|[0-9][+-]|[+-]$"
 
 
+def materialized(df: DataFrame, *cols) -> DataFrame:
+    """Project ``cols`` through a one-element explode. A filter placed on the
+    result cannot be pushed below the generator, so the projected
+    expressions are computed once instead of once more inside the filter."""
+    return df.select(F.explode(F.array(F.struct(*cols))).alias("_m")).select("_m.*")
+
+
 def _work_list_ids(lines: DataFrame) -> DataFrame:
     """Shape check by flat regexes (no per-element lambdas, no recursion),
     then the split and the int conversion; out-of-range numbers give NULL
@@ -70,7 +77,7 @@ def _work_list_ids(lines: DataFrame) -> DataFrame:
     ids_text = F.regexp_replace(F.get(parts, 1), ",+$", "")
     shape = v.rlike(WORK_ID_RE) & ids_text.rlike(WORK_IDS_RE) & ~ids_text.rlike(WORK_IDS_BAD_RE)
     ids = F.split(ids_text, ",", -1)
-    return lines.select("value", F.coalesce(shape, F.lit(False)).alias("_shape"),
+    return materialized(lines, F.col("value"), F.coalesce(shape, F.lit(False)).alias("_shape"),
                         F.get(parts, 0).try_cast("int").alias("wine_id"),
                         F.transform(ids, lambda x: x.try_cast("int")).alias("vintage_ids"))
 
@@ -119,15 +126,15 @@ def parse_success_log(lines: DataFrame) -> DataFrame:
     # an empty capture means no match: no separate rlike pass
     wid = F.regexp_extract(v, SUCCESS_RE, 1).try_cast("int")
     pages = F.regexp_extract(v, SUCCESS_RE, 2).try_cast("int")
-    return (lines.select(wid.alias("wine_id"), pages.alias("n_pages"))
+    return (materialized(lines, wid.alias("wine_id"), pages.alias("n_pages"))
             .filter(F.col("wine_id").isNotNull() & F.col("n_pages").isNotNull()))
 
 
 def parse_not_found_log(lines: DataFrame) -> DataFrame:
     """Distinct winery ids answered with 404 in the fetch log."""
     v = F.col("value")
-    return (lines.filter(v.rlike(NOT_FOUND_RE))
-            .select(F.regexp_extract(v, NOT_FOUND_RE, 1).try_cast("int").alias("winery_id"))
+    return (materialized(lines.filter(v.rlike(NOT_FOUND_RE)),
+                         F.regexp_extract(v, NOT_FOUND_RE, 1).try_cast("int").alias("winery_id"))
             .filter(F.col("winery_id").isNotNull())
             .distinct())
 

@@ -33,3 +33,38 @@ def test_work_list_parser_matches_model(spark, values):
     want = sorted(m for m in (model(v) for v in values) if m is not None)
     assert rows == want
     assert L.work_list_rejects(df).count() == sum(model(v) is None for v in values)
+
+
+TEXT = st.text(alphabet=st.sampled_from(list('ab "\t\n\r\\,;é€') + ["x"]), min_size=1, max_size=12)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), TEXT), st.one_of(st.none(), TEXT)), min_size=20, max_size=60))
+def test_tsv_round_trip_is_identity(spark, tmp_path_factory, rows):
+    from doclake.sinks.tsv import write_tsv
+    from doclake.sources.tsv import read_tsv
+    path = str(tmp_path_factory.mktemp("tsv") / "t")
+    data = [(i, a, b) for i, (a, b) in enumerate(rows)]
+    written = write_tsv(spark.createDataFrame(data, "id int, a string, b string"), path)
+    assert written == len(data)
+    back = sorted(tuple(r) for r in read_tsv(spark, path, "id int, a string, b string").collect())
+    assert back == sorted(data)
+
+
+def test_resume_plan_partitions_the_listed_ids(spark):
+    import os
+
+    import pytest
+    root = "/root/testdata/sf0.001"
+    if not os.path.exists(f"{root}/orders.parquet"):
+        pytest.skip("no test data")
+    from doclake.catalog.plans import finished, last, resume_work
+    from doclake.plans import planning as P
+    work, done, saved = resume_work(spark, root), finished(spark, root), last(spark, root)
+    plan = P.resume_plan(work, done, saved)
+    listed = {r[0] for r in work.select("wine_id").distinct().collect()}
+    done_ids = {r[0] for r in done.collect()} & listed
+    resume = {r[0] for r in plan.filter("start_page > 1").select("wine_id").collect()}
+    fresh = {r[0] for r in plan.filter("start_page = 1").select("wine_id").collect()}
+    assert not (resume & fresh) and not (done_ids & (resume | fresh))
+    assert done_ids | resume | fresh == listed

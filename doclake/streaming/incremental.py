@@ -27,12 +27,17 @@ def document_stream(spark: SparkSession, folder: str, name_regex: str | None = N
     return df.filter(F.col("file_name").rlike(name_regex)) if name_regex else df
 
 
+MAX_FILES_PER_BATCH = 100_000
+
+
 def ingest_available(spark: SparkSession, folder: str, sink: str, checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame], name_regex: str | None = None,
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = MAX_FILES_PER_BATCH) -> None:
     """Run ``transform`` over every document not yet ingested and append the
     rows to the parquet table ``sink``; returns when all available files are
-    done."""
+    done. A backlog of any size is taken in micro-batches of at most
+    ``max_files_per_trigger`` files, each committed to the checkpoint, so a
+    run that is stopped resumes after the last committed batch."""
     rows = transform(document_stream(spark, folder, name_regex, max_files_per_trigger))
     # Each micro-batch names its new files one by one; above a few dozen
     # paths Spark stats them with a parallel job of up to one task per file.

@@ -173,7 +173,11 @@ def flatten_vintages(docs: DataFrame) -> DataFrame:
     w = (parsed.select("file_name", file_winery.alias("file_winery"),
                        F.explode(F.when(wines_valid(doc, file_name), doc["wines"])).alias("w"))
          .filter(F.col("w").isNotNull() & (to_int(F.col("w.winery.id")) == F.col("file_winery"))))
-    v = w.select("file_name", "w", F.explode("w.vintages").alias("v")).filter(F.col("v").isNotNull())
+    # the wine is carried into each of its vintage rows without its vintage
+    # list (carrying the list would copy it once per vintage: quadratic)
+    v = (w.select("file_name", F.col("w").dropFields("vintages").alias("w"),
+                  F.explode("w.vintages").alias("v"))
+         .filter(F.col("v").isNotNull()))
     wc, vc = F.col("w"), F.col("v")
     region, country, winery = wc["region"], wc["region"]["country"], wc["winery"]
     wstats = winery["statistics"]

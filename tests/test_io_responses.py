@@ -186,3 +186,10 @@ def test_wide_join_keep_key(spark):
     w = wide_join(fact, prices, vint, fact_price_key="vid", price_key="vid", fact_vintage_key="sid",
                   vintage_key="sid", keep_key=True)
     assert w.columns == ["id", "vid", "sid", "price_vid", "p", "vintage_sid", "name"]
+
+
+def test_save_table_round_trip(spark, tmp):
+    from doclake.sinks.tables import save_table
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "x")], "id int, v string, p string")
+    back = save_table(df, f"{tmp}/t", partition_by=["p"])
+    assert sorted((r["id"], r["v"], r["p"]) for r in back.collect()) == [(1, "a", "x"), (2, "b", "y"), (3, "c", "x")]

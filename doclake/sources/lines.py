@@ -79,7 +79,7 @@ def _work_list_ids(lines: DataFrame) -> DataFrame:
     ids = F.split(ids_text, ",", -1)
     return materialized(lines, F.col("value"), F.coalesce(shape, F.lit(False)).alias("_shape"),
                         F.get(parts, 0).try_cast("int").alias("wine_id"),
-                        F.transform(ids, lambda x: x.try_cast("int")).alias("vintage_ids"))
+                        ids.try_cast("array<int>").alias("vintage_ids"))
 
 
 def parse_work_list(lines: DataFrame) -> DataFrame:

@@ -94,11 +94,15 @@ def plan_report(work: DataFrame, done_ids: DataFrame, last: DataFrame) -> DataFr
 
 def backlog_stats(listed: DataFrame, saved: DataFrame, key: str = "wine_id") -> DataFrame:
     """Rows in the work list, rows in the saved log (each counted once) and
-    the number of distinct listed ids not saved (EXCEPT DISTINCT)."""
-    a = listed.agg(F.count(F.lit(1)).alias("rows_to_load"))
-    b = saved.agg(F.count(F.lit(1)).alias("rows_saved"))
-    c = (listed.select(key).subtract(saved.select(key))
-         .agg(F.count(F.lit(1)).alias("distinct_not_loaded")))
-    u = a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
-    return u.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
-                   for c in ("rows_to_load", "rows_saved", "distinct_not_loaded")])
+    the number of distinct listed ids not saved (EXCEPT DISTINCT).
+
+    Both inputs are read once: their keys are tagged and united, counted per
+    key (partial counts map-side, so a hot key costs one row per task), and
+    one final aggregate derives the three numbers."""
+    tagged = (listed.select(F.col(key).alias("_k"), F.lit(1).alias("_l"), F.lit(0).alias("_s"))
+              .unionByName(saved.select(F.col(key).alias("_k"), F.lit(0).alias("_l"), F.lit(1).alias("_s"))))
+    per_key = tagged.groupBy("_k").agg(F.sum("_l").alias("_nl"), F.sum("_s").alias("_ns"))
+    return per_key.agg(
+        F.coalesce(F.sum("_nl"), F.lit(0)).cast("bigint").alias("rows_to_load"),
+        F.coalesce(F.sum("_ns"), F.lit(0)).cast("bigint").alias("rows_saved"),
+        F.count_if((F.col("_nl") > 0) & (F.col("_ns") == 0)).alias("distinct_not_loaded"))

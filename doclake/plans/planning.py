@@ -59,15 +59,17 @@ def resume_plan(work: DataFrame, done_ids: DataFrame, last: DataFrame) -> DataFr
     * wines with saved pages but not finished restart after their last page;
     * wines neither finished nor saved start at page 1;
     * finished wines are not planned.
-    Output: the work item columns plus ``start_page``."""
-    items = work.distinct()
-    done = done_ids.select("wine_id")
-    errors = last.join(done, "wine_id", "left_anti")
-    resume = items.join(errors, "wine_id").withColumn("start_page", F.col("last_page") + 1).drop("last_page")
-    fresh = (items.join(done, "wine_id", "left_anti")
-             .join(last.select("wine_id"), "wine_id", "left_anti")
-             .withColumn("start_page", F.lit(1)))
-    return resume.unionByName(fresh)
+    Output: the work item columns plus ``start_page``.
+
+    One status row per wine (finished ids outer-joined to the last saved
+    pages) is left-joined to the distinct work items, so every input is read
+    once."""
+    status = (done_ids.select("wine_id").distinct().withColumn("_done", F.lit(True))
+              .join(last.select("wine_id", "last_page"), "wine_id", "full"))
+    cols = work.columns
+    return (work.distinct().join(status, "wine_id", "left")
+            .filter(F.col("_done").isNull())
+            .select(*cols, F.coalesce(F.col("last_page") + 1, F.lit(1)).alias("start_page")))
 
 
 def plan_report(work: DataFrame, done_ids: DataFrame, last: DataFrame) -> DataFrame:

@@ -193,3 +193,23 @@ def test_save_table_round_trip(spark, tmp):
     df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "x")], "id int, v string, p string")
     back = save_table(df, f"{tmp}/t", partition_by=["p"])
     assert sorted((r["id"], r["v"], r["p"]) for r in back.collect()) == [(1, "a", "x"), (2, "b", "y"), (3, "c", "x")]
+
+
+def test_wide_join_both_dimensions_on_the_same_fact_key(spark):
+    from doclake.operators.wide import wide_coverage
+    fact = spark.createDataFrame([(1, 70, "a"), (2, 70, None), (3, 71, "c"), (4, None, "d"), (5, 72, "e")],
+                                 "review_id int, vintage_id int, note string")
+    prices = spark.createDataFrame([(70, 1.0), (70, 2.0), (71, None)], "vintage_id int, amount double")
+    vint = spark.createDataFrame([(70, "v70"), (72, "v72")], "vintages__id int, name string")
+    keys = dict(fact_price_key="vintage_id", price_key="vintage_id", fact_vintage_key="vintage_id",
+                vintage_key="vintages__id")
+    w = wide_join(fact, prices, vint, **keys)
+    assert w.columns == ["review_id", "note", "amount", "vintages__id", "name"]
+    got = sorted(tuple(r) for r in w.collect())
+    assert got == [(1, "a", 1.0, 70, "v70"), (1, "a", 2.0, 70, "v70"), (2, None, 1.0, 70, "v70"),
+                   (2, None, 2.0, 70, "v70"), (3, "c", None, None, None), (5, "e", None, 72, "v72")]
+    measures = {"amount": ["amount"], "note": ["note"], "both": ["amount", "note"]}
+    for budget in (0, 1000):
+        c = {r["metric"]: r["n"] for r in wide_coverage(fact, prices, vint, **keys, measures=measures,
+                                                       broadcast_rows=budget).collect()}
+        assert c == {"amount": 4, "note": 4, "both": 2, "all": 6}

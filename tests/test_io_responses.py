@@ -213,3 +213,12 @@ def test_wide_join_both_dimensions_on_the_same_fact_key(spark):
         c = {r["metric"]: r["n"] for r in wide_coverage(fact, prices, vint, **keys, measures=measures,
                                                        broadcast_rows=budget).collect()}
         assert c == {"amount": 4, "note": 4, "both": 2, "all": 6}
+
+
+def test_batch_ingest_skips_landed_documents(spark, tmp):
+    first = docs_df(spark, [("a.json", "{}"), ("b.json", "{}")])
+    second = docs_df(spark, [("b.json", "{}"), ("c.json", "{}")])
+    insert_if_absent(spark, f"{tmp}/raw", first, "file_name")
+    new, seen = insert_if_absent(spark, f"{tmp}/raw", second, "file_name")
+    assert [r[0] for r in new.select("file_name").collect()] == ["c.json"]
+    assert [r[0] for r in seen.select("file_name").collect()] == ["b.json"]

@@ -53,7 +53,8 @@ def round_robin(plan: DataFrame, plan_order: list[str], targets: DataFrame, targ
     broadcast when the list is small and a shuffle join otherwise."""
     t = dense_index(targets, target_order, slot_col)
     n_targets = t.count()
-    if n_targets == 0:
-        return plan.limit(0).join(t, F.lit(False))
+    if n_targets == 0:  # nothing to assign to: no rows, same columns
+        return plan.limit(0).select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                           for f in targets.schema.fields])
     p = dense_index(plan, plan_order, "_i").withColumn(slot_col, F.pmod(F.col("_i"), F.lit(n_targets)))
     return p.join(t, slot_col).drop("_i", slot_col)

@@ -137,3 +137,10 @@ def test_no_line_length_limit(spark):
     ids = ",".join(str(i) for i in range(20000))
     got = L.parse_work_list(lines(spark, f"7={ids}")).first()
     assert got["wine_id"] == 7 and len(got["vintage_ids"]) == 20000
+
+
+def test_round_robin_without_targets(spark):
+    plan = spark.range(0, 3).withColumnRenamed("id", "job")
+    targets = spark.createDataFrame([], "host string, rank int")
+    out = round_robin(plan, ["job"], targets, ["rank"])
+    assert out.count() == 0 and out.columns == ["job", "host", "rank"]

@@ -144,3 +144,10 @@ def test_round_robin_without_targets(spark):
     targets = spark.createDataFrame([], "host string, rank int")
     out = round_robin(plan, ["job"], targets, ["rank"])
     assert out.count() == 0 and out.columns == ["job", "host", "rank"]
+
+
+def test_raw_list_trim_crlf(spark, tmp):
+    with open(f"{tmp}/raw.txt", "w", newline="") as f:
+        f.write("Banner\r\nsub\r\n\r\nh1:80 US\r\n\r\nh2:81\r\nFree proxies: 2\r\n")
+    got = [r["value"] for r in rows(L.trim_raw_list(L.numbered_lines(spark, f"{tmp}/raw.txt")), "line_no")]
+    assert got == ["h1:80", "h2:81"]

@@ -4,7 +4,10 @@
 
 Each query is executed in full (``noop`` sink: every row is produced, nothing
 is collected to the driver). One warm-up run, then the median of three runs.
-Prints one JSON line.
+Prints one JSON line. The headline flatten queries include building their
+input documents from the tables; ``landed`` times the same flatteners on a
+raw-documents parquet table written once beforehand (the production path:
+land documents once, flatten from the table). Set BENCH_LANDED=0 to skip.
 """
 
 from __future__ import annotations
@@ -32,20 +35,37 @@ def main() -> None:
     qs = catalog.queries()
     names = [n for n in (os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES")
                          else HEADLINE) if n in qs]
-    timings: dict[str, float] = {}
-    for name in names:
+
+    def median_time(make_df) -> float:
         def once() -> float:
             t0 = time.perf_counter()
-            qs[name](spark, root).write.format("noop").mode("overwrite").save()
+            make_df().write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
         once()
-        timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        return round(statistics.median(once() for _ in range(runs)), 3)
+
+    timings: dict[str, float] = {}
+    for name in names:
+        timings[name] = median_time(lambda: qs[name](spark, root))
+
+    landed: dict[str, float] = {}
+    if os.environ.get("BENCH_LANDED", "1") != "0" and not os.environ.get("BENCH_QUERIES"):
+        from doclake.catalog.render import price_docs, review_docs, wines_docs
+        from doclake.operators import flatten as FL
+        from doclake.session import scratch_path
+        for name, render, flatten in (("reviews_flatten", review_docs, FL.flatten_reviews),
+                                      ("vintages_flatten", wines_docs, FL.flatten_vintages),
+                                      ("prices_flatten", price_docs, FL.flatten_prices)):
+            path = scratch_path(spark, f"bench-raw-{name}")
+            render(spark, root).write.parquet(path)
+            landed[name] = median_time(lambda: flatten(spark.read.parquet(path)))
     m = re.search(r"sf([0-9.]+)", root)
     print(json.dumps({
         "metric": "sum_median_sec",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
+        "landed": landed,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
         "spark": spark.version,

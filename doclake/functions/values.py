@@ -58,6 +58,16 @@ def id_from_name(name, regex: str, group: int = 1) -> Column:
     return F.regexp_extract(as_col(name), regex, group).try_cast("int")
 
 
+def map_entries_last_wins(m: Column) -> Column:
+    """Entries of a parsed JSON object map with repeated keys resolved (last
+    wins). The sort-based pass runs only for maps that repeat a key, found by
+    a lambda-free size comparison; other maps pass through."""
+    keys = F.map_keys(m)
+    entries = F.map_entries(m)
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries) \
+        .otherwise(dedup_entries_last_wins(entries))
+
+
 def dedup_entries_last_wins(entries: Column) -> Column:
     """Keep, for each key of an array of map entries, only its last entry
     (JSON objects with a repeated field name: the last one wins).

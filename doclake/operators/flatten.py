@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from doclake.functions import schemas as S
 from doclake.functions.json import present as json_present
-from doclake.functions.values import clean_ws, dedup_entries_last_wins, primitive_float, to_float, to_int
+from doclake.functions.values import clean_ws, map_entries_last_wins, primitive_float, to_float, to_int
 
 # File-name patterns (fixed values, anchored; the dot before the extension is literal).
 WINES_FILE_RE = r"^wines-(\d+)-(\d+)-(\d+)-\.json$"
@@ -290,7 +290,7 @@ def flatten_prices(docs: DataFrame) -> DataFrame:
     fn, body = F.col("file_name"), F.col("body")
     parsed = parse_prices(docs)
     valid = prices_valid(F.col("doc"), body, fn)
-    entries = F.when(valid, dedup_entries_last_wins(F.map_entries(F.col("doc.prices.vintages"))))
+    entries = F.when(valid, map_entries_last_wins(F.col("doc.prices.vintages")))
     e = F.col("e")
     return (parsed
             .select(F.regexp_extract(fn, PRICES_FILE_RE, 1).try_cast("int").alias("wine_id"),
@@ -313,7 +313,7 @@ def prices_doc_stats(docs: DataFrame) -> DataFrame:
     fn, body = F.col("file_name"), F.col("body")
     parsed = parse_prices(docs)
     valid = prices_valid(F.col("doc"), body, fn)
-    n = F.size(F.coalesce(dedup_entries_last_wins(F.map_entries(F.col("doc.prices.vintages"))),
+    n = F.size(F.coalesce(map_entries_last_wins(F.col("doc.prices.vintages")),
                           F.array()))
     return (parsed.select(valid.alias("ok"), n.alias("n"))
             .agg(F.count(F.lit(1)).alias("n_docs"),

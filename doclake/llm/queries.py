@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from doclake.llm import decontaminate, mixing, packing, pii, shards, topk, toxicity, warc
+from doclake.llm import decontaminate, jaccard, mixing, packing, passages, pii, shards, topk, toxicity, warc
 
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_pii": (pii.op1_pii, None),
     "op2_warc": (warc.op2_warc, warc.ORACLE_SQL),
     "op3_decontaminate": (decontaminate.op3_decontaminate, decontaminate.ORACLE_SQL),
+    "op4_jaccard": (jaccard.op4_jaccard, jaccard.ORACLE_SQL),
     "op5_sharding": (shards.op5_sharding, None),
+    "op6_passages": (passages.op6_passages, None),
     "op7_mixing": (mixing.op7_mixing, None),
     "op8_topk": (topk.op8_topk, topk.ORACLE_SQL),
     "op9_packing": (packing.op9_packing, None),

@@ -109,8 +109,10 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, slop: int
     it = item_table(items, window)
     postings = build_index(docs, it)
     cand = candidates(postings, it, anchors(it, postings), slop)
-    d = docs.withColumn("__key", _doc_key()).join(cand.withColumnRenamed("key", "__k").withColumnRenamed("cs", "__cs"),
-                                                  F.col("__key") == F.col("__k"), "left").drop("__k", "__key")
+    # candidates grow with the documents: one plan at every size, by sorting
+    cand = cand.select(F.col("key").alias("__k"), F.col("cs").alias("__cs")).hint("merge")
+    d = (docs.withColumn("__key", _doc_key()).join(cand, F.col("__key") == F.col("__k"), "left")
+         .drop("__k", "__key"))
     d = d.withColumn("__w", words(F.col("text")))
     kind = "array<struct<item_id:string,kind:string,item_start:int,start:int,len:int>>"
     found = F.when(F.col("__cs").isNotNull(), F.flatten(F.transform(

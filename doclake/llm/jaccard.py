@@ -171,7 +171,7 @@ def candidate_sets(docs: DataFrame, rows: DataFrame, members: DataFrame, width:
     ids = members.select("c").union(members.select("p")).distinct()
     rep = rows.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "th")).alias("r"))
     need = write_table(rep.join(ids, "c").select(F.col("r.doc_id").alias("k_id"), F.col("r.th").alias("k_th")).distinct(),
-                       "jx-need")
+                       "jx-need").hint("merge")  # grows with the documents
 
     def task(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -191,7 +191,7 @@ def candidate_sets(docs: DataFrame, rows: DataFrame, members: DataFrame, width:
 def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(c, p, d, linked) of distinct pairs (c, p), exact, stored."""
     a, b = sets.select("c", F.col("items").alias("x")), sets.select(F.col("c").alias("p"), F.col("items").alias("y"))
-    both = pairs.join(a, "c").join(b, "p")
+    both = pairs.join(a.hint("merge"), "c").join(b.hint("merge"), "p")
     inter = F.size(F.array_intersect("x", "y")).cast("long")
     return write_table(both.select("c", "p", inter.alias("i"), (F.size("x") + F.size("y")).cast("long").alias("t"))
                        .select("c", "p", (1 - F.col("i") / (F.col("t") - F.col("i"))).alias("d"),

@@ -115,10 +115,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Da
     ``max_labelled`` of them, by hash."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     lab = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold != 0))
-    # the bound holds before the join: only so many labels ever meet a text
+    # the bound holds before the join, so the broadcast side has at most so many short rows
     lab = write_table(lab.select("doc_id", F.col("toxic").cast("double").alias("toxic"))
                       .orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(max_labelled), "tox-labels")
-    return docs.select("doc_id", "text").join(lab, "doc_id").select("doc_id", "text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id").select("doc_id", "text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, bits: int = 18) -> dict | None:

@@ -54,7 +54,7 @@ def mark_revisits(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     groups = (t.filter(F.octet_length("html") >= min_revisit_bytes).groupBy("digest")
               .agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("c")).filter("c > 1 and not f.n"))
     first = write_table(groups.select(F.col("digest").alias("d"), F.col("f.page_id").alias("first"),
-                                      F.col("f.rid").alias("first_rid")), "warc-first")
+                                      F.col("f.rid").alias("first_rid")), "warc-first").hint("merge")
     return (t.join(first, F.col("digest") == F.col("d"), "left")
             .select("rid", "page_id", "url", "html",
                     F.when(F.col("rid") != F.col("first_rid"), F.col("first")).alias("first")))

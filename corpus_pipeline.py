@@ -27,8 +27,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that hold a 10-word window of a benchmark item."""
-    found = decontaminate.find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slop=0)
-    return found.filter(F.size("matches") == 0).select(*docs.columns)
+    found = decontaminate.matched(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slop=0)
+    return found.filter(F.size("__matches") == 0).drop("__matches", "__n_words")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

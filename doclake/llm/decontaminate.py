@@ -103,21 +103,26 @@ def _matches(dw: Column, c: Column, slop: int) -> Column:
     return F.when(F.exists(c["al"], lambda a: F.size(at(a, True)) > 0), exact).otherwise(near)
 
 
-def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 3) -> DataFrame:
-    """The documents' columns with n_words and ``matches``: array of
-    (item_id, kind phrase | proximity, item_start, start, len)."""
+def matched(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 3) -> DataFrame:
+    """``docs`` with ``__n_words`` and ``__matches``: array of (item_id, kind
+    phrase | proximity, item_start, start, len)."""
     it = item_table(items, window)
     postings = build_index(docs, it)
     cand = candidates(postings, it, anchors(it, postings), slop)
     # candidates grow with the documents: one plan at every size, by sorting
     cand = cand.select(F.col("key").alias("__k"), F.col("cs").alias("__cs")).hint("merge")
     d = (docs.withColumn("__key", _doc_key()).join(cand, F.col("__key") == F.col("__k"), "left")
-         .drop("__k", "__key"))
-    d = d.withColumn("__w", words(F.col("text")))
+         .drop("__k", "__key").withColumn("__w", words(F.col("text"))))
     kind = "array<struct<item_id:string,kind:string,item_start:int,start:int,len:int>>"
     found = F.when(F.col("__cs").isNotNull(), F.flatten(F.transform(
         "__cs", lambda c: _matches(F.col("__w"), c, slop))).cast(kind)).otherwise(F.array().cast(kind))
-    return (d.withColumn("n_words", F.size("__w").cast("long")).withColumn("matches", found).drop("__cs", "__w"))
+    return (d.withColumn("__n_words", F.size("__w").cast("long")).withColumn("__matches", found).drop("__cs", "__w"))
+
+
+def find_matches(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
+    """doc_id, n_words and ``matches`` per document."""
+    m = matched(docs.select("doc_id", "text"), items, **params)
+    return m.select("doc_id", F.col("__n_words").alias("n_words"), F.col("__matches").alias("matches"))
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -133,7 +138,7 @@ def digests(found: DataFrame) -> DataFrame:
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Query: hits of 10-word benchmark windows in every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return digests(find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))).drop("n_near_items")
 
 

@@ -95,6 +95,9 @@ def fit(rows: list[np.ndarray], y: np.ndarray, bits: int, rank: int = 4, epochs:
             raw, s, row = _score(w0, w, v, idx, ptr)
             err = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y[pick]) * weight[pick] / len(pick)
             cols, inv = np.unique(idx, return_inverse=True)
+            if not len(cols):
+                w0 -= rate * float(err.sum()) / (g0 + float(err.sum()) ** 2) ** 0.5
+                continue
             dw = np.bincount(inv, weights=err[row], minlength=len(cols)) + l2 * w[cols] / len(cols) ** 0.5
             vi = v[idx]
             part = err[row][:, None] * (s[row] - vi)

@@ -1,0 +1,58 @@
+import os
+import random
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+SF = "/root/testdata/sf0.001"
+
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, key string, c int, n string, th string, "
+          "size string, h int, s int, rid int, target string, matches string, n_words string, score string")
+
+
+@pytest.fixture(scope="session")
+def real(spark):
+    """The documents of the smallest data set, as (doc_id, text, lang, source, n_chars)."""
+    return [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet")
+            .select("doc_id", "text", "lang", "source", "n_chars").collect()]
+
+
+@pytest.fixture(scope="session")
+def edge_rows(real):
+    """Real rows with every odd case: nulls, empty and very long texts, ties,
+    repeated rows, groups of copies and near copies."""
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(400)] + ["é", "ß", "日本", "𝛼𝛽"]
+    long_text = " ".join(rng.choice(vocab) for _ in range(30_000))
+    base = [rng.choice(vocab) for _ in range(120)]
+    shared = " ".join(rng.choice(vocab) for _ in range(70))
+    out = list(real)
+    out += [(None, "no id at all " + shared, None, None, None), (None, None, None, None, None),
+            (10_001, None, "en", "a", 0), (10_002, "", "en", "a", 0), (10_003, " \t\n\x0b\f\r", "en", None, 6),
+            (10_004, "One two", "en", "b", 7), (10_005, "one TWO", "en", "b", 7), (10_006, "x", "en", "b", 1),
+            (10_007, long_text, "en", "long", len(long_text)), (10_008, long_text + " tail", "en", "long", 1),
+            (10_009, "z" * 60_000, "en", "b", 1), (10_010, "1" * 20_000 + " " + "1." * 9_000, "en", "b", 1),
+            (10_011, "a" * 30_000 + "@" + "b." * 9_000 + "c", "en", "b", 1)]
+    out += [(10_050, "same row " + shared, "en", "b", 1)] * 3  # repeated rows
+    for i in range(60):  # near copies, and a passage in unlike texts
+        w = list(base)
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(len(w))] = rng.choice(vocab)
+        out.append((11_000 + i, " ".join(w), "en", "hot", 1))
+        body = " ".join(rng.choice(vocab) for _ in range(rng.randrange(20, 200)))
+        out.append((12_000 + i, f"{body} {shared if i % 2 else ''} {body[::-1]}", "en", "hot", 1))
+    out += [(13_000 + i, " ".join(base), "en", "hot", 1) for i in range(40)]  # exact copies
+    return out
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark, edge_rows):
+    """``edge_rows`` with extra columns whose names clash with inner ones."""
+    rows = [(*r, "k", 1, "n", "t", "s", 1, 2, 3, "x", "m", "w", "z") for r in edge_rows]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5, "doc_id")
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -31,7 +31,7 @@ WINES_PAGES_SQL = """
     LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
     LEFT JOIN region r ON r.r_regionkey = n.n_regionkey),
   c AS (SELECT l_suppkey, count(*) AS cnt FROM b GROUP BY l_suppkey),
-  pg AS (SELECT b.*, b.l_orderkey % CAST(ceil(c.cnt / 1000.0) AS BIGINT) AS page
+  pg AS (SELECT b.*, (b.l_orderkey + b.l_linenumber + b.l_partkey) % CAST(ceil(c.cnt / 1000.0) AS BIGINT) AS page
          FROM b JOIN c ON b.l_suppkey = c.l_suppkey),
   nw AS (SELECT l_suppkey AS nw_supp, page AS nw_page, count(DISTINCT l_partkey) AS n_wines
          FROM pg GROUP BY l_suppkey, page)
@@ -196,7 +196,8 @@ WITH pr AS (SELECT l_partkey, l_suppkey, min(l_extendedprice) AS mn, max(l_exten
                    max(l_discount) AS disc, count(*) AS n
             FROM lineitem GROUP BY l_partkey, l_suppkey)
 SELECT CAST(l_partkey AS INTEGER) AS wine_id, CAST(l_suppkey AS INTEGER) AS vintage_id,
-       '$' AS currency, 'US Dollar' AS currency_name,
+       CASE WHEN l_partkey % 9 <> 3 THEN '$' END AS currency,
+       CASE WHEN l_partkey % 9 <> 3 THEN 'US Dollar' END AS currency_name,
        CAST(mn AS FLOAT) AS median__amount, 'median' AS median__type,
        CASE WHEN n % 3 <> 0 AND n % 5 <> 0 THEN CAST(mx AS VARCHAR) END AS price__amount,
        CASE WHEN n % 3 <> 0 THEN CAST(disc AS VARCHAR) END AS price__discounted_from,
@@ -244,12 +245,30 @@ def q_reviews_tsv(spark, root):
     """Flat reviews exported as TSV and loaded back with the table's typed
     schema (empty text becomes NULL, non-boolean visibility becomes NULL)."""
     from doclake.functions.schemas import REVIEWS_DDL
+    return _tsv_round_trip(spark, FL.flatten_reviews(review_docs(spark, root)), "reviews-tsv", REVIEWS_DDL)
+
+
+def _tsv_round_trip(spark, df, name: str, ddl: str):
     from doclake.session import scratch_path
     from doclake.sinks.tsv import write_tsv
     from doclake.sources.tsv import read_tsv
-    path = scratch_path(spark, "reviews-tsv")
-    write_tsv(FL.flatten_reviews(review_docs(spark, root)), path)
-    return read_tsv(spark, path, REVIEWS_DDL)
+    path = scratch_path(spark, name)
+    write_tsv(df, path)
+    return read_tsv(spark, path, ddl)
+
+
+@register("vintages_tsv", VINTAGES_SQL)
+def q_vintages_tsv(spark, root):
+    """Flat vintages exported as TSV and loaded back with their typed schema."""
+    from doclake.functions.schemas import VINTAGES_DDL
+    return _tsv_round_trip(spark, FL.flatten_vintages(wines_docs(spark, root)), "vintages-tsv", VINTAGES_DDL)
+
+
+@register("prices_tsv", PRICES_SQL)
+def q_prices_tsv(spark, root):
+    """Flat prices exported as TSV and loaded back with their typed schema."""
+    from doclake.functions.schemas import PRICES_DDL
+    return _tsv_round_trip(spark, FL.flatten_prices(price_docs(spark, root)), "prices-tsv", PRICES_DDL)
 
 
 @register("duplicate_vintage_keys", f"""

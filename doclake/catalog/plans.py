@@ -16,7 +16,7 @@ from doclake.catalog.render import wines_docs
 from doclake.operators.flatten import winery_info
 from doclake.operators.indexing import round_robin
 from doclake.plans import planning as P
-from doclake.plans.requests import BASE_URL, prices_request
+from doclake.plans.requests import BASE_URL, prices_request, reviews_request, wines_request, winery_request
 from doclake.sources import lines as L
 from doclake.sources.tables import Tables
 
@@ -188,3 +188,17 @@ def q_request_plan(spark, root):
         F.col("n_name").alias("proxy_host"), "n_nationkey", (F.col("n_nationkey") + 8000).alias("proxy_port"))
     out = round_robin(plan, ["wine_id", "ids_text"], proxies, ["n_nationkey"])
     return out.select("wine_id", "proxy_host", "proxy_port", "url")
+
+
+@register("request_forms", f"""
+SELECT s_suppkey, '{BASE_URL}/api/wineries/' || CAST(s_suppkey AS VARCHAR) || '/wines?start_from='
+         || CAST(s_nationkey AS VARCHAR) || '&limit=50' AS wines_url,
+       '{BASE_URL}/api/wines/' || CAST(s_suppkey AS VARCHAR) || '/reviews?page=' || CAST(s_nationkey + 1 AS VARCHAR) AS reviews_url,
+       '{BASE_URL}/wineries/' || lower(s_name) AS winery_url
+FROM supplier
+""")
+def q_request_forms(spark, root):
+    s = Tables(spark, root).supplier
+    return s.select("s_suppkey", wines_request(F.col("s_suppkey"), F.col("s_nationkey"), F.lit(50)).alias("wines_url"),
+                    reviews_request(F.col("s_suppkey"), F.col("s_nationkey") + 1).alias("reviews_url"),
+                    winery_request(F.lower("s_name")).alias("winery_url"))

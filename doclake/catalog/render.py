@@ -84,7 +84,7 @@ def review_docs(spark, root: str, page_rows: int = REVIEW_PAGE_ROWS) -> DataFram
             F.col("c_custkey").cast("string").alias("ratings_count"))).alias("user"),
         F.struct(
             F.col("l_partkey").alias("id"), F.lower("p_brand").alias("seo_name"), year.alias("year"),
-            F.col("p_name").alias("name"),
+            F.translate("p_name", " ", "\t").alias("name"),  # tabs become spaces again
             F.struct(F.col("p_size").alias("ratings_count"), F.col("p_retailprice").alias("ratings_average"),
                      (F.col("p_size") * 2).alias("labels_count")).alias("statistics"),
             F.when(kind != 3, F.struct(F.col("l_suppkey").alias("id"), F.col("s_name").alias("name"),
@@ -122,7 +122,7 @@ def wines_docs(spark, root: str, page_rows: int = WINES_PAGE_ROWS) -> DataFrame:
     counted = (li.select("l_partkey", "l_suppkey")
                .join(t.part.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
                .join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey")), "l_suppkey", "left_semi"))
-    paged = with_pages(li, "l_suppkey", page_rows, F.col("l_orderkey"), counted).repartition("l_suppkey", "page")
+    paged = with_pages(li, "l_suppkey", page_rows, F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey"), counted).repartition("l_suppkey", "page")
     base = (paged
             .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
             .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -160,7 +160,7 @@ def wines_docs(spark, root: str, page_rows: int = WINES_PAGE_ROWS) -> DataFrame:
         F.when(size % 7 != 1, F.col("p_retailprice")).alias("ratings_average"),
         F.when(size % 7 != 1, size * 3).alias("labels_count")))
     wine = F.struct(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), (size / 10.0).alias("type_id"),
+        F.col("p_partkey").alias("id"), F.translate("p_name", " ", "\t").alias("name"), (size / 10.0).alias("type_id"),
         region.alias("region"), winery.alias("winery"), stats.alias("statistics"),
         (size % 2 == 0).alias("hidden"), vintages.alias("vintages"))
     docs = (per_wine.groupBy("l_suppkey", "page", "kind")
@@ -178,7 +178,7 @@ def price_docs(spark, root: str) -> DataFrame:
     """One price document per part, ``vintages`` keyed by supplier id.
     Entries come from distinct (part, supplier) pairs (pre-aggregated
     map-side), so a document has at most one entry per supplier.
-    Kind = part key mod 9: 0-3 good, 4 currency missing, 5 ``{}``,
+    Kind = part key mod 9: 0-3 good (3 with a JSON null as currency), 4 currency missing, 5 ``{}``,
     6 ``[]``, 7 ``vintages`` missing, 8 JSON null. Entry with n lines: no
     price when n mod 3 = 0, no price amount when n mod 5 = 0."""
     t = Tables(spark, root)
@@ -196,8 +196,8 @@ def price_docs(spark, root: str) -> DataFrame:
                     F.col("l_suppkey").cast("string").alias("key"), entry.alias("value")))).alias("m"))
                 .withColumn("kind", F.pmod(F.col("l_partkey"), F.lit(9))))
     kind = F.col("kind")
-    market = F.to_json(F.struct(F.when(kind != 4, F.struct(F.lit("$").alias("prefix"),
-                                                           F.lit("US Dollar").alias("name"))).alias("currency")))
+    market = F.when(kind == 3, F.lit('{"currency":null}')).otherwise(F.to_json(F.struct(
+        F.when(kind != 4, F.struct(F.lit("$").alias("prefix"), F.lit("US\tDollar").alias("name"))).alias("currency"))))
     vint = (F.when(kind == 5, F.lit("{}")).when(kind == 6, F.lit("[]")).when(kind == 8, F.lit("null"))
             .otherwise(F.to_json("m")))
     body = F.when(kind == 7, F.concat(F.lit('{"prices":{"market":'), market, F.lit("}}")))\

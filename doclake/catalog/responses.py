@@ -55,14 +55,22 @@ def fetched_pages(spark, root):
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     state = (F.when((ok + 3 * ln) % 11 == 0, F.lit("failed"))
              .when((ok + ln) % 5 == 0, F.lit("empty")).otherwise(F.lit("ok")))
-    return li.select(ok.alias("wine_id"), ln.alias("page_no"), state.alias("state"))
+    return (li.select(ok.alias("wine_id"), ln.alias("page_no"), state.alias("state"))
+            .unionByName(li.filter(ok % 7 == 0).select(ok.alias("wine_id"), ln.alias("page_no"),
+                                                       F.when(ln % 2 == 0, F.lit("failed")).otherwise(F.lit("empty"))
+                                                       .alias("state"))))
 
 
 @register("page_runs", """
-WITH p AS (SELECT DISTINCT l_orderkey AS wine_id, l_linenumber AS page_no,
-             CASE WHEN (l_orderkey + 3 * l_linenumber) % 11 = 0 THEN 'failed'
-                  WHEN (l_orderkey + l_linenumber) % 5 = 0 THEN 'empty' ELSE 'ok' END AS state
-           FROM lineitem),
+WITH c AS (SELECT l_orderkey AS wine_id, l_linenumber AS page_no,
+             CASE WHEN (l_orderkey + 3 * l_linenumber) % 11 = 0 THEN 2
+                  WHEN (l_orderkey + l_linenumber) % 5 = 0 THEN 1 ELSE 0 END AS w
+           FROM lineitem
+           UNION ALL
+           SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 1 END
+           FROM lineitem WHERE l_orderkey % 7 = 0),
+p AS (SELECT wine_id, page_no, CASE min(w) WHEN 0 THEN 'ok' WHEN 1 THEN 'empty' ELSE 'failed' END AS state
+      FROM c GROUP BY wine_id, page_no),
 s AS (SELECT DISTINCT wine_id, CASE WHEN wine_id % 3 = 0 THEN 2 ELSE 1 END AS start_page FROM p),
 q AS (SELECT p.*, s.start_page FROM p JOIN s ON p.wine_id = s.wine_id WHERE p.page_no >= s.start_page),
 r AS (SELECT *, row_number() OVER (PARTITION BY wine_id ORDER BY page_no) AS i FROM q),
@@ -79,7 +87,9 @@ def q_page_runs(spark, root):
     pages = fetched_pages(spark, root)
     starts = (pages.select("wine_id").distinct()
               .withColumn("start_page", F.when(F.col("wine_id") % 3 == 0, 2).otherwise(1)))
-    return R.page_runs(pages, starts)
+    # wines divisible by 4 are planned twice, the second time two pages later
+    again = starts.filter(F.col("wine_id") % 4 == 0).withColumn("start_page", F.col("start_page") + 2)
+    return R.page_runs(pages, starts.unionByName(again))
 
 
 LAND_SQL = QUARANTINE_SQL.split("SELECT CASE l_orderkey")[0].replace(
@@ -99,17 +109,18 @@ def q_land_raw(spark, root):
 
 
 @register("insert_if_absent", """
-SELECT o_orderkey, o_orderstatus, o_orderpriority, 1 AS batch FROM orders
-WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
-UNION ALL
-SELECT o_orderkey, o_orderstatus, o_orderpriority, 2 AS batch FROM orders
-WHERE o_orderstatus = 'O' AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
+SELECT o_orderkey, o_orderstatus, o_orderpriority,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 2 END AS batch
+FROM orders
 """)
 def q_insert_if_absent(spark, root):
     o = Tables(spark, root).orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
     path = scratch_path(spark, "orders-table")
     insert_if_absent(spark, path, o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
                      .withColumn("batch", F.lit(1)), "o_orderkey")
-    insert_if_absent(spark, path, o.filter(F.col("o_orderstatus") == "O").withColumn("batch", F.lit(2)),
-                     "o_orderkey")
+    # the second batch offers every order, those of status O twice, and rows without a key
+    late = o.unionByName(o.filter(F.col("o_orderstatus") == "O").withColumn("o_orderpriority", F.lit("9-LATER")))
+    none = o.withColumn("o_orderkey", F.lit(None).cast("bigint"))
+    insert_if_absent(spark, path, late.unionByName(none).withColumn("batch", F.lit(2)), "o_orderkey",
+                     order=["o_orderpriority"])
     return spark.read.parquet(path)

@@ -117,12 +117,17 @@ class _Extractor(HTMLParser):
             self._text(data)
 
 
-def extract(html: str | None, selectors: list[str]) -> list[list[str]]:
-    """For each selector, the normalised texts of its matches in document order."""
-    parsed = [parse_selector(s) for s in selectors]
+def extract(html: str | None, selectors: list) -> list[list[str]]:
+    """For each selector (text, or parsed by :func:`parse_selector`), the
+    normalised texts of its matches in document order. Raises ``ValueError``
+    for a page that the parser rejects."""
+    parsed = [parse_selector(s) if isinstance(s, str) else s for s in selectors]
     if html is None:
         return [[] for _ in selectors]
     p = _Extractor(parsed)
-    p.feed(html)
-    p.close()
+    try:
+        p.feed(html)
+        p.close()
+    except (AssertionError, RecursionError) as e:  # how the standard parser reports markup it cannot read
+        raise ValueError(f"unreadable markup: {e}") from e
     return [[_WS.sub(" ", "".join(buf)).strip() for buf in found] for found in p.found]

@@ -47,31 +47,8 @@ prices struct<
                                price: struct<amount: string, discounted_from: string, type: string>>>>
 """
 
-# Output column order of the flat tables (fixed values: the catalogue's headers).
-REVIEWS_COLUMNS = (
-    "review_id rating note language created_at user_id user_seo_name user_alias user_visblty "
-    "user_followers_count user_following_count user_ratings_count vintage_id vintage_seo_name "
-    "vintage_year vintage_name vintge_stats_ratings_count vintge_stats_ratings_average "
-    "vintge_stats_labels_count vintge_wine_id vintge_wine_name vintge_wine_region_id "
-    "vintge_wine_rgn_name vintge_wine_rgn_cntry_code vintge_wine_rgn_cntry_name activity_id "
-    "activity_stats_likes_count activity_stats_comments_count").split()
-
-VINTAGES_COLUMNS = (
-    "wine_id wine_name wine_type_id rgn__id rgn__name rgn__seo_name rgn__cntry__code "
-    "rgn__cntry__name rgn__cntry__regions_count rgn__cntry__users_count rgn__cntry__wines_count "
-    "rgn__cntry__wineries_count winery__id winery__name winery__seo_name "
-    "winery__stats__ratings_count winery__stats__ratings_average winery__stats__wines_count "
-    "stats__ratings_count stats__ratings_average stats__labels_count hidden vintages__id "
-    "vintages__seo_name vintages__year vintages__name vintages__stats__ratings_count "
-    "vintages__stats__ratings_average vintages__stats__labels_count wine_file").split()
-
-PRICES_COLUMNS = (
-    "wine_id vintage_id currency currency_name median__amount median__type price__amount "
-    "price__discounted_from price__type").split()
-
-ADDRESSES_COLUMNS = "winery_id seo_name winemaker address web email".split()
-
-# Typed schema of the flat tables when they are read back from TSV.
+# Flat tables: column names in output order with their types (fixed values:
+# the catalogue's headers).
 REVIEWS_DDL = (
     "review_id int, rating float, note string, language string, created_at date, user_id int, "
     "user_seo_name string, user_alias string, user_visblty boolean, user_followers_count int, "
@@ -82,6 +59,27 @@ REVIEWS_DDL = (
     "vintge_wine_rgn_cntry_code string, vintge_wine_rgn_cntry_name string, activity_id int, "
     "activity_stats_likes_count int, activity_stats_comments_count int")
 
+VINTAGES_DDL = (
+    "wine_id int, wine_name string, wine_type_id int, rgn__id int, rgn__name string, rgn__seo_name string, "
+    "rgn__cntry__code string, rgn__cntry__name string, rgn__cntry__regions_count int, "
+    "rgn__cntry__users_count int, rgn__cntry__wines_count int, rgn__cntry__wineries_count int, "
+    "winery__id int, winery__name string, winery__seo_name string, winery__stats__ratings_count int, "
+    "winery__stats__ratings_average float, winery__stats__wines_count int, stats__ratings_count int, "
+    "stats__ratings_average float, stats__labels_count int, hidden boolean, vintages__id int, "
+    "vintages__seo_name string, vintages__year string, vintages__name string, "
+    "vintages__stats__ratings_count int, vintages__stats__ratings_average float, "
+    "vintages__stats__labels_count int, wine_file string")
+
 PRICES_DDL = (
     "wine_id int, vintage_id int, currency string, currency_name string, median__amount float, "
     "median__type string, price__amount string, price__discounted_from string, price__type string")
+
+ADDRESSES_DDL = "winery_id int, seo_name string, winemaker string, address string, web string, email string"
+
+
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
+
+REVIEWS_COLUMNS, VINTAGES_COLUMNS, PRICES_COLUMNS, ADDRESSES_COLUMNS = map(
+    _names, (REVIEWS_DDL, VINTAGES_DDL, PRICES_DDL, ADDRESSES_DDL))

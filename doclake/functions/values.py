@@ -32,15 +32,11 @@ def to_double(c) -> Column:
     return as_col(c).try_cast("double")
 
 
-def to_bool(c) -> Column:
-    """'true'/'false' (any case) and 1/0 to boolean, anything else NULL."""
-    return as_col(c).try_cast("boolean")
-
-
 def primitive_float(c, parent: Column | None = None) -> Column:
     """A primitive float field: absent gives 0.0, but NULL when its parent
-    object is itself missing."""
-    v = F.coalesce(to_float(c), F.lit(0.0).cast("float"))
+    object is itself missing or when it holds something that is no number."""
+    c = as_col(c)
+    v = F.when(c.isNull(), F.lit(0.0).cast("float")).otherwise(to_float(c))
     return v if parent is None else F.when(parent.isNull(), F.lit(None).cast("float")).otherwise(v)
 
 
@@ -53,11 +49,6 @@ def tab_to_space(c) -> Column:
     return F.translate(as_col(c), "\t", " ")
 
 
-def id_from_name(name, regex: str, group: int = 1) -> Column:
-    """Capture group of an anchored regex as int; NULL when not matching."""
-    return F.regexp_extract(as_col(name), regex, group).try_cast("int")
-
-
 def map_entries_last_wins(m: Column) -> Column:
     """Entries of a parsed JSON object map with repeated keys resolved (last
     wins). The sort-based pass runs only for maps that repeat a key, found by

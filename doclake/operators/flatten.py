@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from doclake.functions import schemas as S
 from doclake.functions.json import present as json_present
-from doclake.functions.values import clean_ws, map_entries_last_wins, primitive_float, to_float, to_int
+from doclake.functions.values import clean_ws, map_entries_last_wins, primitive_float, tab_to_space, to_float, to_int
 
 # File-name patterns (fixed values, anchored; the dot before the extension is literal).
 WINES_FILE_RE = r"^wines-(\d+)-(\d+)-(\d+)-\.json$"
@@ -89,7 +89,8 @@ def flatten_reviews(docs: DataFrame) -> DataFrame:
 
     A missing region gives id -1 and empty names, a missing activity gives
     -1 for its three numbers (present objects with NULL fields stay NULL).
-    Notes have every whitespace character replaced by a space."""
+    Notes have every whitespace character replaced by a space, all other
+    texts their tabs. A number that is none gives NULL, see quarantine."""
     parsed = parse_reviews(docs)
     r = F.col("r")
     region, activity = r["vintage"]["wine"]["region"], r["activity"]
@@ -105,28 +106,28 @@ def flatten_reviews(docs: DataFrame) -> DataFrame:
         to_int(r["id"]).alias("review_id"),
         primitive_float(r["rating"]).alias("rating"),
         clean_ws(r["note"]).alias("note"),
-        r["language"].alias("language"),
+        tab_to_space(r["language"]).alias("language"),
         F.substring(r["created_at"], 1, 10).try_cast("date").alias("created_at"),
         to_int(r["user"]["id"]).alias("user_id"),
-        r["user"]["seo_name"].alias("user_seo_name"),
-        r["user"]["alias"].alias("user_alias"),
-        r["user"]["visibility"].alias("user_visblty"),
+        tab_to_space(r["user"]["seo_name"]).alias("user_seo_name"),
+        tab_to_space(r["user"]["alias"]).alias("user_alias"),
+        tab_to_space(r["user"]["visibility"]).alias("user_visblty"),
         to_int(r["user"]["followers_count"]).alias("user_followers_count"),
         to_int(r["user"]["following_count"]).alias("user_following_count"),
         to_int(r["user"]["ratings_count"]).alias("user_ratings_count"),
         to_int(r["vintage"]["id"]).alias("vintage_id"),
-        r["vintage"]["seo_name"].alias("vintage_seo_name"),
-        r["vintage"]["year"].alias("vintage_year"),
-        r["vintage"]["name"].alias("vintage_name"),
+        tab_to_space(r["vintage"]["seo_name"]).alias("vintage_seo_name"),
+        tab_to_space(r["vintage"]["year"]).alias("vintage_year"),
+        tab_to_space(r["vintage"]["name"]).alias("vintage_name"),
         to_int(stats["ratings_count"]).alias("vintge_stats_ratings_count"),
         primitive_float(stats["ratings_average"]).alias("vintge_stats_ratings_average"),
         to_int(stats["labels_count"]).alias("vintge_stats_labels_count"),
         to_int(r["vintage"]["wine"]["id"]).alias("vintge_wine_id"),
-        r["vintage"]["wine"]["name"].alias("vintge_wine_name"),
+        tab_to_space(r["vintage"]["wine"]["name"]).alias("vintge_wine_name"),
         reg(to_int(region["id"]), -1).alias("vintge_wine_region_id"),
-        reg(region["name"], "").alias("vintge_wine_rgn_name"),
-        reg(region["country"]["code"], "").alias("vintge_wine_rgn_cntry_code"),
-        reg(region["country"]["name"], "").alias("vintge_wine_rgn_cntry_name"),
+        reg(tab_to_space(region["name"]), "").alias("vintge_wine_rgn_name"),
+        reg(tab_to_space(region["country"]["code"]), "").alias("vintge_wine_rgn_cntry_code"),
+        reg(tab_to_space(region["country"]["name"]), "").alias("vintge_wine_rgn_cntry_name"),
         act(activity["id"]).alias("activity_id"),
         act(activity["statistics"]["likes_count"]).alias("activity_stats_likes_count"),
         act(activity["statistics"]["comments_count"]).alias("activity_stats_comments_count"),
@@ -183,20 +184,20 @@ def flatten_vintages(docs: DataFrame) -> DataFrame:
     wstats = winery["statistics"]
     cols = [
         to_int(wc["id"]).alias("wine_id"),
-        wc["name"].alias("wine_name"),
+        tab_to_space(wc["name"]).alias("wine_name"),
         to_int(wc["type_id"]).alias("wine_type_id"),
         to_int(region["id"]).alias("rgn__id"),
-        region["name"].alias("rgn__name"),
-        region["seo_name"].alias("rgn__seo_name"),
-        country["code"].alias("rgn__cntry__code"),
-        country["name"].alias("rgn__cntry__name"),
+        tab_to_space(region["name"]).alias("rgn__name"),
+        tab_to_space(region["seo_name"]).alias("rgn__seo_name"),
+        tab_to_space(country["code"]).alias("rgn__cntry__code"),
+        tab_to_space(country["name"]).alias("rgn__cntry__name"),
         to_int(country["regions_count"]).alias("rgn__cntry__regions_count"),
         to_int(country["users_count"]).alias("rgn__cntry__users_count"),
         to_int(country["wines_count"]).alias("rgn__cntry__wines_count"),
         to_int(country["wineries_count"]).alias("rgn__cntry__wineries_count"),
         to_int(winery["id"]).alias("winery__id"),
-        winery["name"].alias("winery__name"),
-        winery["seo_name"].alias("winery__seo_name"),
+        tab_to_space(winery["name"]).alias("winery__name"),
+        tab_to_space(winery["seo_name"]).alias("winery__seo_name"),
         to_int(wstats["ratings_count"]).alias("winery__stats__ratings_count"),
         primitive_float(wstats["ratings_average"], wstats).alias("winery__stats__ratings_average"),
         to_int(wstats["wines_count"]).alias("winery__stats__wines_count"),
@@ -205,9 +206,9 @@ def flatten_vintages(docs: DataFrame) -> DataFrame:
         to_int(wc["statistics"]["labels_count"]).alias("stats__labels_count"),
         F.coalesce(wc["hidden"], F.lit(False)).alias("hidden"),
         to_int(vc["id"]).alias("vintages__id"),
-        vc["seo_name"].alias("vintages__seo_name"),
-        vc["year"].alias("vintages__year"),
-        vc["name"].alias("vintages__name"),
+        tab_to_space(vc["seo_name"]).alias("vintages__seo_name"),
+        tab_to_space(vc["year"]).alias("vintages__year"),
+        tab_to_space(vc["name"]).alias("vintages__name"),
         to_int(vc["statistics"]["ratings_count"]).alias("vintages__stats__ratings_count"),
         primitive_float(vc["statistics"]["ratings_average"], vc["statistics"]).alias("vintages__stats__ratings_average"),
         to_int(vc["statistics"]["labels_count"]).alias("vintages__stats__labels_count"),
@@ -239,25 +240,35 @@ def worklist_lines(docs: DataFrame) -> DataFrame:
     vintage ids concatenated in document order -> ``"<wine_id>=<v1>,<v2>"``.
 
     Grouping is per document (an id in two documents gives two lines). The
-    document's own arrays carry the order, so no shuffle is needed: the group
-    is built with array functions inside the row. Documents with a NULL wine
-    or a NULL vintage list / element cannot be exported and give no lines."""
-    parsed = parse_wines(docs.filter(F.col("file_name").rlike(WINES_FILE_LOOSE_RE)))
+    arrays are exploded with their positions and grouped by (document, id), so
+    the work grows with the number of vintages. Documents that break a rule of
+    :func:`worklist_checks` give no lines."""
+    parsed = (parse_wines(docs.filter(F.col("file_name").rlike(WINES_FILE_LOOSE_RE)))
+              .withColumn("_doc", F.monotonically_increasing_id()))  # a name may occur twice
     wines = F.col("doc.wines")
-    ok = (wines.isNotNull()
-          & _all(wines, lambda w: w.isNotNull() & w["vintages"].isNotNull()
-                 & F.forall(w["vintages"], lambda x: x.isNotNull())))
-    ids = F.array_distinct(F.transform(wines, lambda w: w["id"]))
-    groups = F.transform(ids, lambda i: F.struct(
-        i.alias("wine_id"),
-        F.flatten(F.transform(F.filter(wines, lambda w: w["id"] == i),
-                              lambda w: F.transform(w["vintages"], lambda x: x["id"]))).alias("vintage_ids")))
-    return (parsed.select("file_name", F.explode(F.when(F.coalesce(ok, F.lit(False)), groups)).alias("g"))
-            .select("file_name", to_int("g.wine_id").alias("wine_id"),
-                    F.transform("g.vintage_ids", to_int).alias("vintage_ids"))
-            .select("file_name", "wine_id",
-                    F.concat(F.col("wine_id").cast("string"), F.lit("="),
-                             F.array_join("vintage_ids", ",")).alias("line")))
+    ok = F.lit(True)
+    for _, c in worklist_checks(F.col("doc"), F.col("file_name")):
+        ok = ok & c
+    w = (parsed.select("file_name", "_doc", F.posexplode(F.when(ok, wines)).alias("pos", "w"))
+         .select("file_name", "_doc", to_int("w.id").alias("wine_id"),
+                 F.struct("pos", F.transform("w.vintages", lambda x: to_int(x["id"])).alias("ids")).alias("v")))
+    ids = F.flatten(F.transform(F.sort_array(F.collect_list("v")), lambda x: x["ids"]))
+    return (w.groupBy("file_name", "_doc", "wine_id").agg(ids.alias("vintage_ids"))
+            .select("file_name", "wine_id", F.concat(F.col("wine_id").cast("string"), F.lit("="),
+                                                     F.array_join("vintage_ids", ",")).alias("line")))
+
+
+def worklist_checks(doc: Column, file_name: Column) -> list[tuple[str, Column]]:
+    """Rules a wines document must meet to be exported as work list lines."""
+    wines = doc["wines"]
+    return [
+        ("bad_file_name", file_name.rlike(WINES_FILE_LOOSE_RE)),
+        ("no_wines", wines.isNotNull()),
+        ("null_wine", _all(wines, lambda w: w.isNotNull())),
+        ("null_vintages", _all(wines, lambda w: w["vintages"].isNotNull()
+                               & F.forall(w["vintages"], lambda x: x.isNotNull()))),
+        ("null_id", _all(wines, lambda w: to_int(w["id"]).isNotNull())),
+    ]
 
 
 # --------------------------------------------------------------------------- prices
@@ -270,7 +281,8 @@ def prices_checks(doc: Column, body: Column, file_name: Column) -> list[tuple[st
     p = doc["prices"]
     return [
         ("bad_file_name", file_name.rlike(PRICES_FILE_RE)),
-        ("no_currency", p["market"]["currency"].isNotNull()),
+        # a JSON null currency keeps the document, only a missing one drops it
+        ("no_currency", p["market"]["currency"].isNotNull() | _json_present(body, "$.prices.market.currency")),
         ("no_vintages", p["vintages"].isNotNull() | _json_present("body", "$.prices.vintages")),
     ]
 
@@ -298,13 +310,13 @@ def flatten_prices(docs: DataFrame) -> DataFrame:
                     F.explode(entries).alias("e"))
             .select("wine_id",
                     e["key"].try_cast("int").alias("vintage_id"),
-                    F.col("cur.prefix").alias("currency"),
-                    F.col("cur.name").alias("currency_name"),
+                    tab_to_space(F.col("cur.prefix")).alias("currency"),
+                    tab_to_space(F.col("cur.name")).alias("currency_name"),
                     to_float(e["value"]["median"]["amount"]).alias("median__amount"),
-                    e["value"]["median"]["type"].alias("median__type"),
-                    e["value"]["price"]["amount"].alias("price__amount"),
-                    e["value"]["price"]["discounted_from"].alias("price__discounted_from"),
-                    e["value"]["price"]["type"].alias("price__type")))
+                    tab_to_space(e["value"]["median"]["type"]).alias("median__type"),
+                    tab_to_space(e["value"]["price"]["amount"]).alias("price__amount"),
+                    tab_to_space(e["value"]["price"]["discounted_from"]).alias("price__discounted_from"),
+                    tab_to_space(e["value"]["price"]["type"]).alias("price__type")))
 
 
 def prices_doc_stats(docs: DataFrame) -> DataFrame:
@@ -324,17 +336,50 @@ def prices_doc_stats(docs: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- quarantine
 
+def _numbers(*fields: Column) -> Column:
+    """True unless a field holds text that is no number."""
+    ok = F.lit(True)
+    for f in fields:
+        ok = ok & (f.isNull() | f.try_cast("double").isNotNull())
+    return ok
+
+
+def _review_numbers(r: Column) -> Column:
+    v, u, a = r["vintage"], r["user"], r["activity"]
+    return _numbers(r["id"], r["rating"], u["id"], u["followers_count"], u["following_count"], u["ratings_count"],
+                    v["id"], *[v["statistics"][c] for c in ("ratings_count", "ratings_average", "labels_count")],
+                    v["wine"]["id"], v["wine"]["region"]["id"], a["id"], a["statistics"]["likes_count"],
+                    a["statistics"]["comments_count"])
+
+
+def _wine_numbers(w: Column) -> Column:
+    stats = ("ratings_count", "ratings_average", "labels_count")
+    per_vintage = F.forall(w["vintages"], lambda x: _numbers(x["id"], *[x["statistics"][c] for c in stats]))
+    country, winery = w["region"]["country"], w["winery"]
+    return (_numbers(w["id"], w["type_id"], w["region"]["id"], winery["id"], *[w["statistics"][c] for c in stats],
+                     *[country[c] for c in ("regions_count", "users_count", "wines_count", "wineries_count")],
+                     *[winery["statistics"][c] for c in ("ratings_count", "ratings_average", "wines_count")])
+            & F.coalesce(per_vintage, F.lit(True)))
+
+
 def quarantine(docs: DataFrame, kind: str) -> DataFrame:
     """Every document with the first rule it breaks (``reason`` NULL = good).
 
-    ``kind``: reviews | wines | prices. ``not_json`` is told apart from a
-    valid JSON without the expected content."""
+    ``kind``: reviews | wines | prices | worklist. ``not_json`` is told apart
+    from a valid JSON without the expected content. ``bad_number`` reports a
+    number field that holds something else; such a document's rows are kept,
+    with NULL in the field."""
     fn, body = F.col("file_name"), F.col("body")
     if kind == "reviews":
-        parsed, checks = parse_reviews(docs), reviews_checks(F.col("doc"))
+        parsed = parse_reviews(docs)
+        checks = [*reviews_checks(F.col("doc")), ("bad_number", _all(F.col("doc.reviews"), _review_numbers))]
         top = F.col("doc.reviews")
     elif kind == "wines":
-        parsed, checks = parse_wines(docs), wines_checks(F.col("doc"), fn)
+        parsed = parse_wines(docs)
+        checks = [*wines_checks(F.col("doc"), fn), ("bad_number", _all(F.col("doc.wines"), _wine_numbers))]
+        top = F.col("doc.wines")
+    elif kind == "worklist":
+        parsed, checks = parse_wines(docs), worklist_checks(F.col("doc"), fn)
         top = F.col("doc.wines")
     elif kind == "prices":
         parsed, checks = parse_prices(docs), prices_checks(F.col("doc"), body, fn)

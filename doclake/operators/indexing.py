@@ -23,13 +23,15 @@ from doclake.session import checkpoint_root
 
 def dense_index(df: DataFrame, order_cols: list[str], index_col: str = "idx",
                 n_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based index following ``order_cols`` (which should be unique
-    for a deterministic result)."""
+    """Add a 0-based index following ``order_cols``; rows with equal order
+    values follow a hash of the whole row, so that they, too, are spread over
+    the tasks and get a reproducible order (equal rows are interchangeable)."""
     spark = df.sparkSession
     n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_root(spark)
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
+    order = [*order_cols, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    ranged = (df.repartitionByRange(n, *order)
+              .sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))

@@ -47,6 +47,7 @@ def page_runs(pages: DataFrame, starts: DataFrame | None = None) -> DataFrame:
 
     ``pages``: ``(wine_id, page_no, state)`` with state ``ok`` (a non-empty
     page), ``empty`` (a valid page without items) or anything else (failed).
+    A page captured several times (retries) counts by its best capture.
     ``starts``: ``(wine_id, start_page)``; default 1 for every wine.
 
     From its start page a wine's run takes pages while they are ``ok``; it
@@ -61,9 +62,15 @@ def page_runs(pages: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     tasks); one per-wine aggregate with partial (map-side) merging then gives
     the first missing page, the first bad page with its state and whether
     the start page exists. No window over a wine's pages."""
-    p = pages.select("wine_id", "page_no", "state").dropDuplicates(["wine_id", "page_no"])
+    # of several captures of a page the best counts: ok, then empty, then failed
+    worth = F.when(F.col("state") == "ok", 0).when(F.col("state") == "empty", 1).otherwise(2)
+    p = (pages.groupBy("wine_id", "page_no").agg(F.min(worth).alias("_w"))
+         .select("wine_id", "page_no", F.when(F.col("_w") == 0, "ok").when(F.col("_w") == 1, "empty")
+                 .otherwise("failed").alias("state")))
     if starts is None:
         starts = p.select("wine_id").distinct().withColumn("start_page", F.lit(1))
+    else:  # a wine planned more than once starts at its first start page
+        starts = starts.groupBy("wine_id").agg(F.min("start_page").alias("start_page"))
     p = p.join(starts, "wine_id").filter(F.col("page_no") >= F.col("start_page"))
     nxt = p.select("wine_id", (F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next"))
     per_wine = (p.join(nxt, ["wine_id", "page_no"], "left")

@@ -1,7 +1,9 @@
 """TSV sink of the flat tables: tab separated, header line, one quoting rule
-for write and read (a field holding a tab, a quote or a line break is quoted,
-quotes doubled), NULL written as an empty field, LF line ends, edge blanks
-kept. Read back with :func:`doclake.sources.tsv.read_tsv`.
+for write and read (a field holding a tab or a quote is quoted, quotes
+doubled), NULL written as an empty field, LF line ends, edge blanks kept. Line
+breaks in fields become spaces, so that the files can be split when they are
+read; ``line_breaks="keep"`` quotes them instead, and such files are read with
+``multiline=True``. Read back with :func:`doclake.sources.tsv.read_tsv`.
 
 Each task writes its own part file; no single writer."""
 
@@ -22,12 +24,18 @@ TSV_OPTIONS = {
 }
 
 
-def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> int:
+def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
+              line_breaks: str = "space") -> int:
     """Write ``df`` as TSV part files under ``path``; returns the number of
     rows written (counted by an observation during the write job itself, no
     second pass). Non-string columns are written as their string form (dates
     ISO, booleans true/false)."""
-    cols = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
+    if line_breaks not in ("space", "keep"):
+        raise ValueError(line_breaks)
+    text = {c: F.col(f"`{c}`").cast("string") for c in df.columns}
+    if line_breaks == "space":
+        text = {c: F.translate(x, "\r\n", "  ") for c, x in text.items()}
+    cols = [x.alias(c) for c, x in text.items()]
     obs = Observation("tsv_rows")
     (df.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode(mode).options(**TSV_OPTIONS).option("header", str(header).lower()).csv(path))

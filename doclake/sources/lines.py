@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from doclake.session import scratch_path
+
 # Message formats of the run logs (fixed values).
 SUCCESS_RE = r"^wine \[(\d+)\] HANDLED with (\d+) review pages$"
 SUCCESS_FMT = "wine [%d] HANDLED with %d review pages"
@@ -29,16 +31,20 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their 0-based position in their file and the file's line
     count: ``(file_name, line_no, n_lines, value)``.
 
-    Two passes, no single-task window over the lines: the first counts lines
-    per file split (one small row per split), prefix sums over those rows give
-    each split's first line number, and a join adds them back. Within a split
-    the line order is the row order of the scan."""
-    base = (spark.read.text(path)
+    The text is scanned once, into a stored copy that carries each line's
+    split and place; how another scan would cut the files does not matter. On
+    the copy, lines per split are counted (one small row per split), prefix
+    sums over those rows give each split's first line number, and a join adds
+    them back: no single-task window over the lines."""
+    rows = (spark.read.text(path)
             .select("value",
                     F.col("_metadata.file_path").alias("file_path"),
                     F.col("_metadata.file_name").alias("file_name"),
                     F.col("_metadata.file_block_start").alias("blk"),
                     F.monotonically_increasing_id().alias("mid")))
+    stored = scratch_path(spark, "numbered-lines")
+    rows.write.parquet(stored)
+    base = spark.read.schema(rows.schema).parquet(stored)
     per_split = base.groupBy("file_path", "blk").agg(F.count(F.lit(1)).alias("n"), F.min("mid").alias("m0"))
     w = Window.partitionBy("file_path").orderBy("blk")
     offsets = (per_split

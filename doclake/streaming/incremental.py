@@ -16,10 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# A file is new when the checkpoint has not seen it, whatever its time: by
+# default Spark skips files more than a week older than the newest one, which
+# would lose copies that kept their times.
+NO_AGE_LIMIT = "36500d"
+
+
 def document_stream(spark: SparkSession, folder: str, name_regex: str | None = None,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming raw documents ``(file_name, body)`` of a folder."""
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", NO_AGE_LIMIT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.text(folder, wholetext=True).select(

@@ -11,9 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from oracle_check import duck, frame_hash  # noqa: E402
 
 import __spark_entry__ as entry_mod  # noqa: E402
+from doclake import catalog  # noqa: E402
 
 ROOT = "/root/testdata/sf0.001"
-NAMES = sorted(entry_mod.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -24,8 +25,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    missing = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
-    assert not missing
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(entry_mod.queries())
 
 
 def test_entry(spark, con):
@@ -37,9 +38,9 @@ def test_entry(spark, con):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, con, name):
-    df = entry_mod.queries()[name](spark, ROOT)
+    df = catalog.queries()[name](spark, ROOT)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
-    res = con.execute(entry_mod.oracle_sql()[name])
+    res = con.execute(catalog.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = [tuple(r) for r in res.fetchall()]
     assert sorted(scols) == sorted(dcols)

@@ -11,6 +11,8 @@ d <= 1 - threshold. Documents with equal shingle sets form one class first.
    bound, so a linked pair meets in at least one region.
 2. In a region, one class becomes the pivot and every other member's exact
    distance to it is taken; members within the bound link to it.
+   Pairs that cannot reach the threshold by the windows' own overlap are left
+   out before (a bound, not an estimate).
 3. Where a region still holds members of several components, it is joined
    again, recursively, with more pivots (1, 4, 16, ...). A pair is skipped
    only if it is in one component already, or if sizes or the triangle
@@ -166,36 +168,84 @@ def regions(rows: DataFrame, partitions: int) -> DataFrame:
                        "jx-regions")
 
 
-def candidate_sets(docs: DataFrame, rows: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """(c, items): the shingle sets of all classes in ``members``, stored."""
-    ids = members.select("c").union(members.select("p")).distinct()
-    rep = rows.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "th")).alias("r"))
-    need = write_table(rep.join(ids, "c").select(F.col("r.doc_id").alias("k_id"), F.col("r.th").alias("k_th")).distinct(),
-                       "jx-need").hint("merge")  # grows with the documents
+def signatures(reg: DataFrame) -> DataFrame:
+    """(c, n, ss): per class its window's shingles that other classes share, stored."""
+    rows = reg.select("s", "c", "n").union(reg.select("s", F.col("p"), F.col("pn")).distinct())
+    return write_table(rows.groupBy("c").agg(F.first("n").alias("n"), F.collect_set("s").alias("ss")), "jx-signatures")
+
+
+def possible(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+    """The pairs (c, p) whose windows leave room for the needed overlap, stored.
+
+    Up to the end of the window that ends first in the global order, both
+    windows hold all of their class's shingles; of the class whose window
+    that is, at most the rest can still be shared. So the overlap is at most
+    the windows' common shingles plus the larger of the two rests.
+    """
+    x, y = sig.select("c", "n", "ss"), sig.select(F.col("c").alias("p"), F.col("n").alias("pn"), F.col("ss").alias("ps"))
+    rest = lambda n: F.ceil(F.col(n) * percent / F.lit(100)) - 1
+    most = F.size(F.array_intersect("ss", "ps")) + F.greatest(rest("n"), rest("pn"))
+    # overlap i links if 100 i >= percent (n + pn - i)
+    return write_table(pairs.join(x.hint("merge"), "c").join(y.hint("merge"), "p")
+                       .filter(_size_ok("n", "pn", percent) & (most * (100 + percent) >= percent * (F.col("n") + F.col("pn"))))
+                       .select("c", "p"), "jx-possible")
+
+
+BITS = 27  # a fixed 16 MB; false hits only cost work
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits of the hashed column ``k``, by words that are or-ed in Spark."""
+    at = F.pmod("k", F.lit(1 << BITS))
+    got = keys.select(F.floor(at / 64).cast("int").alias("w"), (at % 64).cast("int").alias("b"))
+    words = got.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v")).collect()
+    out = np.zeros(1 << (BITS - 6), np.int64)
+    for r in words:
+        out[r["w"]] = r["v"]
+    return out.view(np.uint64)
+
+
+def sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(c, items): shingle sets of ``classes``, stored. Texts are read again
+    and only the classes' representatives, found by a bitmap, are hashed: no
+    text is shuffled. A class may come more than once."""
+    key = F.xxhash64("th", "doc_id")
+    rep = (rows.filter("n > 0").groupBy("c")
+           .agg(F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "th")).alias("r")))
+    need = rep.join(classes, "c").select(F.xxhash64("r.th", "r.doc_id").alias("k"))
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(need))
 
     def task(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        cache = WordHashes()
+        cache, seen, bits = WordHashes(), set(), shared.value
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                got = list(_sets(b.column("text").slice(at, 256).to_pylist(), cache, width))
+            k = b.column("k").to_numpy()
+            at = np.mod(k, 1 << BITS).astype(np.uint64)
+            hit = np.flatnonzero((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1))
+            hit = [i for i in hit.tolist() if not (k[i] in seen or seen.add(k[i]))]
+            if len(seen) > 1 << 20:
+                seen.clear()
+            for i in range(0, len(hit), 256):
+                texts = b.column("text").take(pa.array(hit[i: i + 256])).to_pylist()
+                got = list(_sets(texts, cache, width))
                 off = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
                 flat = np.concatenate([*got, np.empty(0, np.uint64)]).astype(np.uint64).view(np.int64)
                 yield _batch(["c", "items"], pa.array([content_id(x) for x in got], pa.int64()),
                              pa.ListArray.from_arrays(pa.array(off), pa.array(flat)))
-    t = docs.select(F.xxhash64("text").alias("th"), "doc_id", "text")
-    t = t.join(need, (F.col("th") == F.col("k_th")) & F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
-    return write_table(t.select("text").mapInArrow(task, "c long, items array<long>").dropDuplicates(["c"]), "jx-sets")
+    t = docs.select(F.xxhash64("text").alias("th"), "doc_id", "text").select(key.alias("k"), "text")
+    return write_table(t.mapInArrow(task, "c long, items array<long>"), "jx-sets")
 
 
-def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(c, p, d, linked) of distinct pairs (c, p), exact, stored."""
+def distances(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(c, p, d, linked) of distinct stored pairs (c, p), exact, stored."""
+    sets = sets_of(docs, rows, pairs.select("c").union(pairs.select("p")).distinct(), width)
     a, b = sets.select("c", F.col("items").alias("x")), sets.select(F.col("c").alias("p"), F.col("items").alias("y"))
     both = pairs.join(a.hint("merge"), "c").join(b.hint("merge"), "p")
     inter = F.size(F.array_intersect("x", "y")).cast("long")
     return write_table(both.select("c", "p", inter.alias("i"), (F.size("x") + F.size("y")).cast("long").alias("t"))
                        .select("c", "p", (1 - F.col("i") / (F.col("t") - F.col("i"))).alias("d"),
-                               (100 * F.col("i") >= percent * (F.col("t") - F.col("i"))).alias("linked")), "jx-distances")
+                               (100 * F.col("i") >= percent * (F.col("t") - F.col("i"))).alias("linked"))
+                       .dropDuplicates(["c", "p"]), "jx-distances")
 
 
 def _size_ok(n: str, m: str, percent: int):
@@ -209,13 +259,15 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
     conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seeds = seed_rows(docs, sketch, width, percent, hot=max(4096, 4 * (total >> SKETCH_BITS)))
     reg = regions(seeds, max(conf, total // 2_000_000))
-    sets = candidate_sets(docs, rows, reg, width)
-    known = distances(reg.filter(_size_ok("n", "pn", percent)).select("c", "p").distinct(), sets, percent)
+    sig = signatures(reg)
+    pairs = possible(reg.filter(_size_ok("n", "pn", percent)).select("c", "p").distinct(), sig, percent)
+    known = distances(pairs, docs, rows, width, percent)
     members = write_table(reg.join(known.select("c", "p", "d"), ["c", "p"], "left").select("s", "c", "n", "d"), "jx-members")
-    pivots = 1
+    pivots, last, label = 1, None, None
     while True:
         links = known.filter("linked").select("c", "p")
-        label = components(links.toDF("a", "b"))
+        if label is None or links.count() != last:
+            last, label = links.count(), components(links.toDF("a", "b"))
         m = (members.join(label.withColumnRenamed("node", "c"), "c", "left")
              .select("s", "c", "n", "d", F.coalesce("root", "c").alias("label")))
         several = m.groupBy("s").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1").select("s")
@@ -232,7 +284,9 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
                                        & _size_ok("n", "q_n", percent))
                  .select(F.greatest("c", "q_c").alias("c"), F.least("c", "q_c").alias("p")).distinct()
                  .join(known.select(F.greatest("c", "p").alias("c"), F.least("c", "p").alias("p")), ["c", "p"], "left_anti"))
-        known = write_table(known.unionByName(distances(pairs, sets, percent)), "jx-known")
+        pairs = possible(pairs, sig, percent)
+        if not pairs.isEmpty():
+            known = write_table(known.unionByName(distances(pairs, docs, rows, width, percent)), "jx-known")
         members = m.filter(F.col("r") > pivots).select("s", "c", "n", "d")
         pivots *= 4
 

@@ -14,7 +14,7 @@ d <= 1 - threshold. Documents with equal shingle sets form one class first.
    Pairs that cannot reach the threshold by the windows' own overlap are left
    out before (a bound, not an estimate).
 3. Where a region still holds members of several components, it is joined
-   again, recursively, with more pivots (1, 4, 16, ...). A pair is skipped
+   again, recursively, with more pivots (1, 8, 64, ...). A pair is skipped
    only if it is in one component already, or if sizes or the triangle
    inequality over the region's first pivot (|d(x,p) - d(y,p)| > 1 -
    threshold) rule it out. The recursion ends when no region holds two
@@ -38,6 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from doclake.llm.classes import items_of, representatives
 from doclake.llm.common import components, write_table
 from doclake.session import scratch_path
 from doclake.llm.shingles import WordHashes, content_id, shingle_sequences
@@ -191,54 +192,20 @@ def possible(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
                        .select("c", "p"), "jx-possible")
 
 
-BITS = 27  # a fixed 16 MB; false hits only cost work
+def sets_of(docs: DataFrame, reps: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(c, items): the shingle sets of ``classes``, stored."""
+    cache = WordHashes()
 
+    def make(texts: list, _: list) -> tuple:
+        got = list(_sets(texts, cache, width))
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in got])])
+        return [content_id(x) for x in got], np.concatenate([*got, np.empty(0, np.uint64)]).astype(np.uint64), bounds
+    return items_of(docs, reps, classes, make, "jx-sets")
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bits of the hashed column ``k``, by words that are or-ed in Spark."""
-    at = F.pmod("k", F.lit(1 << BITS))
-    got = keys.select(F.floor(at / 64).cast("int").alias("w"), (at % 64).cast("int").alias("b"))
-    words = got.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v")).collect()
-    out = np.zeros(1 << (BITS - 6), np.int64)
-    for r in words:
-        out[r["w"]] = r["v"]
-    return out.view(np.uint64)
 
-
-def sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(c, items): shingle sets of ``classes``, stored. Texts are read again
-    and only the classes' representatives, found by a bitmap, are hashed: no
-    text is shuffled. A class may come more than once."""
-    key = F.xxhash64("th", "doc_id")
-    rep = (rows.filter("n > 0").groupBy("c")
-           .agg(F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "th")).alias("r")))
-    need = rep.join(classes, "c").select(F.xxhash64("r.th", "r.doc_id").alias("k"))
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(need))
-
-    def task(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        cache, seen, bits = WordHashes(), set(), shared.value
-        for b in batches:
-            k = b.column("k").to_numpy()
-            at = np.mod(k, 1 << BITS).astype(np.uint64)
-            hit = np.flatnonzero((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1))
-            hit = [i for i in hit.tolist() if not (k[i] in seen or seen.add(k[i]))]
-            if len(seen) > 1 << 20:
-                seen.clear()
-            for i in range(0, len(hit), 256):
-                texts = b.column("text").take(pa.array(hit[i: i + 256])).to_pylist()
-                got = list(_sets(texts, cache, width))
-                off = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
-                flat = np.concatenate([*got, np.empty(0, np.uint64)]).astype(np.uint64).view(np.int64)
-                yield _batch(["c", "items"], pa.array([content_id(x) for x in got], pa.int64()),
-                             pa.ListArray.from_arrays(pa.array(off), pa.array(flat)))
-    t = docs.select(F.xxhash64("text").alias("th"), "doc_id", "text").select(key.alias("k"), "text")
-    return write_table(t.mapInArrow(task, "c long, items array<long>"), "jx-sets")
-
-
-def distances(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+def distances(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
     """(c, p, d, linked) of distinct stored pairs (c, p), exact, stored."""
-    sets = sets_of(docs, rows, pairs.select("c").union(pairs.select("p")).distinct(), width)
+    sets = sets_of(docs, reps, pairs.select("c").union(pairs.select("p")).distinct(), width)
     a, b = sets.select("c", F.col("items").alias("x")), sets.select(F.col("c").alias("p"), F.col("items").alias("y"))
     both = pairs.join(a.hint("merge"), "c").join(b.hint("merge"), "p")
     inter = F.size(F.array_intersect("x", "y")).cast("long")
@@ -259,9 +226,9 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
     conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seeds = seed_rows(docs, sketch, width, percent, hot=max(4096, 4 * (total >> SKETCH_BITS)))
     reg = regions(seeds, max(conf, total // 2_000_000))
-    sig = signatures(reg)
+    sig, reps = signatures(reg), representatives(rows.filter("n > 0"))
     pairs = possible(reg.filter(_size_ok("n", "pn", percent)).select("c", "p").distinct(), sig, percent)
-    known = distances(pairs, docs, rows, width, percent)
+    known = distances(pairs, docs, reps, width, percent)
     members = write_table(reg.join(known.select("c", "p", "d"), ["c", "p"], "left").select("s", "c", "n", "d"), "jx-members")
     pivots, last, label = 1, None, None
     while True:
@@ -286,9 +253,9 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
                  .join(known.select(F.greatest("c", "p").alias("c"), F.least("c", "p").alias("p")), ["c", "p"], "left_anti"))
         pairs = possible(pairs, sig, percent)
         if not pairs.isEmpty():
-            known = write_table(known.unionByName(distances(pairs, docs, rows, width, percent)), "jx-known")
+            known = write_table(known.unionByName(distances(pairs, docs, reps, width, percent)), "jx-known")
         members = m.filter(F.col("r") > pivots).select("s", "c", "n", "d")
-        pivots *= 4
+        pivots *= 8
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

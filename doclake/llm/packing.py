@@ -20,7 +20,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,6 +35,20 @@ ROW_SCHEMA = ("matrix string, row int, n_tokens int, n_segments int, doc_ids arr
               "doc_starts array<int>, cu_seqlens array<int>, position_resets array<int>, ids_crc32 long")
 
 
+class _Pieces(dict):
+    """Bounded cache: a piece -> its ids as bytes, with a blank in front."""
+
+    def __init__(self, encode: Callable[[str], list[int]], size: int):
+        super().__init__()
+        self.encode, self.size = encode, size
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.size:
+            self.clear()
+        got = self[piece] = np.array(self.encode(" " + piece), dtype="<u2").tobytes()
+        return got
+
+
 class Tokenizer:
     """Byte-level BPE with a bounded cache of blank-separated pieces.
 
@@ -42,35 +56,24 @@ class Tokenizer:
     token group in the pattern, so pieces cut there can be encoded alone.
     """
 
-    #: white space other than a single blank between two other characters
-    _irregular = re.compile(r"\s(?= )|(?<= )\s|[^\S ](?= )|(?<= )[^\S ]|\A\s|\s\Z")
+    #: a blank with white space before or behind it
+    _irregular = re.compile(r" (?:(?=\s)|(?<=\s ))")
 
     def __init__(self, path: str, cache: int = 1 << 19):
         import tiktoken
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cache_size = cache
-        self.cache: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        if len(self.cache) >= self.cache_size:
-            self.cache.clear()
-        got = self.cache[piece] = np.array(self.enc.encode_ordinary(piece), dtype="<u2").tobytes()
-        return got
+        self.pieces = _Pieces(self.enc.encode_ordinary, cache)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, "<u2")
-        if len(text) > 1_000_000 or self._irregular.search(text):
+        if text[0].isspace() or text[-1].isspace() or self._irregular.search(text):
             return np.array(self.enc.encode_ordinary(text), dtype="<u2")
         first, *rest = text.split(" ")
-        get, cache = self._piece, self.cache
-        out = [get(first)]
-        for p in rest:
-            p = " " + p
-            out.append(cache.get(p) or get(p))
-        return np.frombuffer(b"".join(out), "<u2")
+        head = np.array(self.enc.encode_ordinary(first), dtype="<u2").tobytes()
+        return np.frombuffer(head + b"".join(map(self.pieces.__getitem__, rest)), "<u2")
 
 
 class CapacityTree:

@@ -295,24 +295,44 @@ def q_export_counters(spark, root):
                      F.sum(n_ids).cast("bigint").alias("n_vintages"))
 
 
+STRAY_SQL = """
+UNION ALL SELECT 'bad_file_name', count(*) FROM region
+UNION ALL SELECT 'not_json', count(*) FROM nation
+"""
+
+
+def stray_docs(spark, root, name_format: str):
+    """Documents that do not belong: a wrong name per region, a body that is
+    no JSON under a right name per nation."""
+    from doclake.sources.tables import Tables
+    t = Tables(spark, root)
+    wrong = t.region.select(F.format_string("other-%d.json", "r_regionkey").alias("file_name"), F.lit("{}").alias("body"))
+    return wrong.unionByName(t.nation.select(F.format_string(name_format, "n_nationkey").alias("file_name"),
+                                             F.concat(F.lit("<html>"), "n_name").alias("body")))
+
+
 @register("wines_quarantine", f"""
 WITH {WINES_PAGES_SQL}
 SELECT CASE kind WHEN 3 THEN 'null_winery' WHEN 4 THEN 'null_vintages' ELSE 'ok' END AS reason,
        count(*) AS n_docs
 FROM (SELECT DISTINCT l_suppkey, page, kind FROM pg) GROUP BY 1
+{STRAY_SQL}
 """)
 def q_wines_quarantine(spark, root):
-    q = FL.quarantine(wines_docs(spark, root), "wines")
+    docs = wines_docs(spark, root).unionByName(stray_docs(spark, root, "wines-%d-0-0-.json"))
+    q = FL.quarantine(docs, "wines")
     return (q.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason"))
             .agg(F.count(F.lit(1)).alias("n_docs")))
 
 
-@register("prices_quarantine", """
+@register("prices_quarantine", f"""
 SELECT CASE l_partkey % 9 WHEN 4 THEN 'no_currency' WHEN 7 THEN 'no_vintages' ELSE 'ok' END AS reason,
        count(*) AS n_docs
 FROM (SELECT DISTINCT l_partkey FROM lineitem) GROUP BY 1
+{STRAY_SQL}
 """)
 def q_prices_quarantine(spark, root):
-    q = FL.quarantine(price_docs(spark, root), "prices")
+    docs = price_docs(spark, root).unionByName(stray_docs(spark, root, "wine-%d-prices-.json"))
+    q = FL.quarantine(docs, "prices")
     return (q.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason"))
             .agg(F.count(F.lit(1)).alias("n_docs")))

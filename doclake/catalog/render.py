@@ -177,7 +177,9 @@ def wines_docs(spark, root: str, page_rows: int = WINES_PAGE_ROWS) -> DataFrame:
 def price_docs(spark, root: str) -> DataFrame:
     """One price document per part, ``vintages`` keyed by supplier id.
     Entries come from distinct (part, supplier) pairs (pre-aggregated
-    map-side), so a document has at most one entry per supplier.
+    map-side), so a document has at most one entry per supplier, however
+    often a part is sold; the catalogue knows one document per wine, so these
+    are not paged.
     Kind = part key mod 9: 0-3 good (3 with a JSON null as currency), 4 currency missing, 5 ``{}``,
     6 ``[]``, 7 ``vintages`` missing, 8 JSON null. Entry with n lines: no
     price when n mod 3 = 0, no price amount when n mod 5 = 0."""

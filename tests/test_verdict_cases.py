@@ -188,3 +188,10 @@ def test_a_hot_order_is_spread_over_wines_pages(spark, tmp):
         (F.col("id") % 7).alias("l"))
     sizes = [r["count"] for r in with_pages(li, "s", 1000, F.col("o") + F.col("l") + F.col("p")).groupBy("page").count().collect()]
     assert len(sizes) == 9 and max(sizes) < 2000
+
+
+def test_distinct_keys_approximately(spark):
+    from doclake.operators.wide import distinct_keys
+    df = spark.range(40_000).select((F.col("id") % 5000).alias("k"))
+    assert distinct_keys(df, "k").first()[0] == 5000
+    assert abs(distinct_keys(df, "k", approx=True).first()[0] - 5000) < 250

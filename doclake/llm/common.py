@@ -101,9 +101,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = e.union(e.select(F.col("b"), F.col("a")))
         low = write_table(both.groupBy("a").agg(F.min("b").alias("m"))
                           .select("a", F.least("a", "m").alias("m")), "cc-low")
-        large = write_table(both.filter("b > a").join(low, "a").filter("b <> m")
-                            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "cc-large")
-        low2 = write_table(large.groupBy("a").agg(F.min("b").alias("m")), "cc-low")
+        # from here on a hub is the smaller end of its edges, never the key
+        large = (both.filter("b > a").join(low, "a").filter("b <> m")
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low2, "a")
         e = write_table(small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                         .union(low2.select("a", F.col("m").alias("b"))).distinct(), "cc-edges")

@@ -9,12 +9,13 @@ d <= 1 - threshold. Documents with equal shingle sets form one class first.
    document, in the window of the next ones: if a partner lacked the first
    floor((1 - threshold) * n) + 1 of them, its distance would exceed the
    bound, so a linked pair meets in at least one region.
-2. In a region, one class becomes the pivot and every other member's exact
-   distance to it is taken; members within the bound link to it.
+2. In a region, the class whose windows are shared most becomes the pivot and
+   every other member's exact distance to it is taken; members within the
+   bound link to it.
    Pairs that cannot reach the threshold by the windows' own overlap are left
    out before (a bound, not an estimate).
 3. Where a region still holds members of several components, it is joined
-   again, recursively, with more pivots (1, 8, 64, ...). A pair is skipped
+   again, recursively, with more pivots (8, 64, ...). A pair is skipped
    only if it is in one component already, or if sizes or the triangle
    inequality over the region's first pivot (|d(x,p) - d(y,p)| > 1 -
    threshold) rule it out. The recursion ends when no region holds two
@@ -141,8 +142,8 @@ def seed_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int, hot
 
 
 def regions(rows: DataFrame, partitions: int) -> DataFrame:
-    """(s, c, n, p, pn): members of regions with two classes or more, and the
-    region's first pivot (its smallest class), stored."""
+    """(s, c, n, p, pn): members of regions with two classes or more, each
+    beside the region's smallest class p, stored."""
 
     def star(batches: Iterator) -> Iterator:
         last_s, last_c, pivot, size = None, None, 0, 0
@@ -169,10 +170,20 @@ def regions(rows: DataFrame, partitions: int) -> DataFrame:
                        "jx-regions")
 
 
-def signatures(reg: DataFrame) -> DataFrame:
-    """(c, n, ss): per class its window's shingles that other classes share, stored."""
+def memberships(reg: DataFrame) -> DataFrame:
+    """(s, c, n, w): all members of all regions, stored. w, the summed sizes
+    of a class's regions, is largest for the class in the middle of a group of
+    near copies: its window holds what most of the others share."""
     rows = reg.select("s", "c", "n").union(reg.select("s", F.col("p"), F.col("pn")).distinct())
-    return write_table(rows.groupBy("c").agg(F.first("n").alias("n"), F.collect_set("s").alias("ss")), "jx-signatures")
+    rows = write_table(rows, "jx-rows-shared")
+    size = write_table(rows.groupBy("s").agg(F.count(F.lit(1)).alias("k")), "jx-sizes")
+    weight = write_table(rows.join(size, "s").groupBy("c").agg(F.sum("k").alias("w")), "jx-weights")
+    return write_table(rows.join(weight, "c").select("s", "c", "n", "w"), "jx-memberships")
+
+
+def signatures(member: DataFrame) -> DataFrame:
+    """(c, n, ss): per class its window's shingles that other classes share, stored."""
+    return write_table(member.groupBy("c").agg(F.first("n").alias("n"), F.collect_set("s").alias("ss")), "jx-signatures")
 
 
 def possible(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
@@ -226,24 +237,28 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
     conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seeds = seed_rows(docs, sketch, width, percent, hot=max(4096, 4 * (total >> SKETCH_BITS)))
     reg = regions(seeds, max(conf, total // 2_000_000))
-    sig, reps = signatures(reg), representatives(rows.filter("n > 0"))
+    member = memberships(reg)
+    sig, reps = signatures(member), representatives(rows.filter("n > 0"))
+    first = write_table(member.groupBy("s").agg(F.max(F.struct("w", "c", "n")).alias("m"))
+                        .select("s", F.col("m.c").alias("p"), F.col("m.n").alias("pn")), "jx-pivots")
+    reg = write_table(member.join(first, "s").filter("c <> p"), "jx-regions")
     pairs = possible(reg.filter(_size_ok("n", "pn", percent)).select("c", "p").distinct(), sig, percent)
     known = distances(pairs, docs, reps, width, percent)
-    members = write_table(reg.join(known.select("c", "p", "d"), ["c", "p"], "left").select("s", "c", "n", "d"), "jx-members")
-    pivots, last, label = 1, None, None
+    members = write_table(reg.join(known.select("c", "p", "d"), ["c", "p"], "left").select("s", "c", "n", "w", "d"), "jx-members")
+    pivots, last, label = 8, None, None
     while True:
         links = known.filter("linked").select("c", "p")
         if label is None or links.count() != last:
             last, label = links.count(), components(links.toDF("a", "b"))
         m = (members.join(label.withColumnRenamed("node", "c"), "c", "left")
-             .select("s", "c", "n", "d", F.coalesce("root", "c").alias("label")))
+             .select("s", "c", "n", "w", "d", F.coalesce("root", "c").alias("label")))
         several = m.groupBy("s").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1").select("s")
         m = write_table(m.join(several, "s"), "jx-open")
         if m.isEmpty():
             return links
         # members of the region's rarest components become pivots first
         share = write_table(m.groupBy("s", "label").agg(F.count(F.lit(1)).alias("k")), "jx-share")
-        rank = F.row_number().over(Window.partitionBy("s").orderBy("k", "label", "c"))
+        rank = F.row_number().over(Window.partitionBy("s").orderBy("k", F.desc("w"), "label", "c"))
         m = write_table(m.join(share, ["s", "label"]).withColumn("r", rank).drop("k"), "jx-ranked")
         q = m.filter(F.col("r") <= pivots).select("s", *[F.col(x).alias(f"q_{x}") for x in ("c", "n", "d", "label", "r")])
         near = F.coalesce(F.abs(F.col("d") - F.col("q_d")) <= bound, F.lit(True))
@@ -254,7 +269,7 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
         pairs = possible(pairs, sig, percent)
         if not pairs.isEmpty():
             known = write_table(known.unionByName(distances(pairs, docs, reps, width, percent)), "jx-known")
-        members = m.filter(F.col("r") > pivots).select("s", "c", "n", "d")
+        members = m.filter(F.col("r") > pivots).select("s", "c", "n", "w", "d")
         pivots *= 8
 
 

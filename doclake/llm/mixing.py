@@ -124,7 +124,7 @@ def schedule(spark, plan: list[dict], max_passes: int, chunk: int = 1 << 16) ->
     return starts.mapInArrow(rank, "slot long, src long, rank long, block long")
 
 
-def placed(rows: DataFrame, plan: list[dict], rows_per_bucket: int = 50_000) -> DataFrame:
+def placed(rows: DataFrame, plan: list[dict], rows_per_bucket: int = 5_000) -> DataFrame:
     """Documents with ``src`` and ``at``, their first word's place in the
     source's hashed order; buckets of the hash keep a hot source in many tasks."""
     spark = rows.sparkSession

@@ -49,7 +49,7 @@ def mark_revisits(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     t = write_table(pages.select(
         F.monotonically_increasing_id().alias("rid"), "page_id", F.coalesce("url", F.lit("")).alias("url"),
         F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", F.unhex(F.sha1(F.encode("html", "utf-8")))),
-        "warc-pages")
+        "warc-pages", compression="zstd")
     order = F.struct(F.col("page_id").isNull().alias("n"), "page_id", "rid")
     groups = (t.filter(F.octet_length("html") >= min_revisit_bytes).groupBy("digest")
               .agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("c")).filter("c > 1 and not f.n"))

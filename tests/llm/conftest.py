@@ -1,10 +1,7 @@
-import os
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 SF = "/root/testdata/sf0.001"
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, key string, c int, n string, th string, "

@@ -7,11 +7,11 @@ import re
 import zlib
 from collections import Counter
 
-import brute
+from . import brute
 import duckdb
 import numpy as np
 import pytest
-from conftest import SF
+from .conftest import SF
 
 from doclake.llm import mixing, packing, shards, topk, toxicity, warc
 from doclake.llm.common import components, open_folder, shared_folder

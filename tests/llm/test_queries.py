@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF
+from .conftest import SF
 
 from doclake.llm import queries as Q
 

@@ -2,7 +2,7 @@
 
 import hashlib
 
-import brute
+from . import brute
 import numpy as np
 import pytest
 

@@ -273,15 +273,21 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
         pivots *= 8
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, th, n_shingles, component_id) per row of ``docs``."""
+def labelled(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): ``measure``'s rows, and (c, root, least) per class
+    with shingles: its component's root and its own smallest id, stored."""
     rows, sketch = measure(docs, width)
     links = class_links(docs, rows, sketch, width, percent)
     label = write_table(components(links.toDF("a", "b")), "jx-labels")
     least = rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"))
+    return rows, write_table(least.join(label.withColumnRenamed("node", "c"), "c", "left")
+                             .select("c", F.coalesce("root", "c").alias("root"), "least"), "jx-classes")
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, th, n_shingles, component_id) per row of ``docs``."""
+    rows, own = labelled(docs, width, percent)
     # each class once: its own smallest id, then its component's
-    own = write_table(least.join(label.withColumnRenamed("node", "c"), "c", "left")
-                      .select("c", F.coalesce("root", "c").alias("root"), "least"), "jx-classes")
     comp = own.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = write_table(own.join(comp, "root").select(F.col("c").alias("k"), "component_id"), "jx-components")
     return (rows.join(ids, (F.col("c") == F.col("k")) & (F.col("n") > 0), "left")
@@ -289,19 +295,24 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` without the members of a component other than the one with
-    its smallest id; rows without words stay, and of equal rows one."""
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with exactly one row of each component: the one with its
+    smallest id (null ids last), then text hash, and of equal rows one. Rows
+    without words all stay."""
     cols = docs.columns
-    got = write_table(jaccard_components(docs, **params), "jx-result")
-    stay = got.filter((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = write_table(stay.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
-        F.count(F.lit(1)).alias("__rows"), F.max("n_shingles").alias("__n")), "jx-stay")
+    rows, own = labelled(docs, width, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "th", "k")).alias("r")
+    equal = rows.filter("n > 0").groupBy("c", "doc_id", "th").agg(F.count(F.lit(1)).alias("k"))
+    # each class once, then each component; equal texts are one class, so (doc_id, th) names one component
+    one = equal.groupBy("c").agg(first).join(own, "c").groupBy("root").agg(F.min("r").alias("r"))
+    stay = one.select(F.col("r.doc_id").alias("__id"), F.col("r.th").alias("__th"), F.col("r.k").alias("__rows"))
+    none = rows.filter("n = 0").select("doc_id", "th").distinct().withColumn("__rows", F.lit(1).cast("long"))
+    stay = write_table(stay.union(none), "jx-stay")
     kept = (docs.withColumn("__hash", F.xxhash64("text"))
             .join(stay, (F.col("__hash") == F.col("__th")) & F.col("doc_id").eqNullSafe(F.col("__id"))))
-    if not stay.filter("__n > 0 and __rows > 1").isEmpty():  # an id more than once
-        once = kept.filter("__n > 0").dropDuplicates(["__id"])
-        kept = kept.filter("__n = 0").unionByName(once)
+    if not stay.filter("__rows > 1").isEmpty():  # equal rows: id and text
+        once = kept.filter("__rows > 1").dropDuplicates(["__id", "__th"])
+        kept = kept.filter("__rows = 1").unionByName(once)
     return kept.select(*[F.col(f"`{c}`") for c in cols])
 
 

@@ -2,7 +2,9 @@
 
 import random
 
-from doclake.llm import jaccard
+from . import brute
+
+from doclake.llm import jaccard, passages
 
 
 def words(rng, n, size=100_000):
@@ -29,3 +31,21 @@ def test_keep_one_removes_linked_rows_only(spark):
         for r in want:
             left.remove(r)
         assert sorted((str(i), len(t.split())) for i, t in left) == [("3", 60), ("None", 60)]
+
+
+def test_near_passages_meet_under_any_order(spark):
+    """60 planted passages of 60 words, two neighbouring words of
+    each changed: shingle similarity 50 / 62."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(60):
+        body = words(rng, 60)
+        copy = list(body)
+        at = rng.randrange(8, 48)
+        copy[at], copy[at + 1] = "new", "word"
+        x, y = brute.shingles(" ".join(body)), brute.shingles(" ".join(copy))
+        assert len(x & y) / len(x | y) >= 0.8
+        rows += [(2 * i, " ".join(words(rng, 30) + body + words(rng, 30))), (2 * i + 1, " ".join(words(rng, 50) + copy + words(rng, 20)))]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(got[2 * i + 1].class_id == 2 * i and got[2 * i].n_repeated >= 50 for i in range(60))
+    assert found >= 59, found

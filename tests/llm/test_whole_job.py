@@ -49,3 +49,20 @@ def test_near_passages_meet_under_any_order(spark):
     got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     found = sum(got[2 * i + 1].class_id == 2 * i and got[2 * i].n_repeated >= 50 for i in range(60))
     assert found >= 59, found
+
+
+def test_passages_with_inserted_and_deleted_words(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(20):
+        body = words(rng, 62)
+        copy = list(body)
+        if i % 2:
+            copy.insert(31, "more")
+        else:
+            del copy[31]
+        rows += [(2 * i, " ".join(words(rng, 30) + body + words(rng, 30))), (2 * i + 1, " ".join(words(rng, 50) + copy + words(rng, 20)))]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(20):
+        assert got[2 * i + 1].class_id == 2 * i
+        assert (got[2 * i].passages, got[2 * i + 1].passages) == ("30:92", f"50:{113 if i % 2 else 111}")

@@ -66,3 +66,31 @@ def test_passages_with_inserted_and_deleted_words(spark):
     for i in range(20):
         assert got[2 * i + 1].class_id == 2 * i
         assert (got[2 * i].passages, got[2 * i + 1].passages) == ("30:92", f"50:{113 if i % 2 else 111}")
+
+
+def test_passages_that_a_group_s_pivot_does_not_hold(spark):
+    """Texts joined by one common passage: what some of them share besides it
+    next to it is too short to meet by itself and is found all the same."""
+    rng = random.Random(14)
+    common, rows = words(rng, 70), [(0, None)]
+    rows[0] = (0, " ".join(words(rng, 5) + common))  # the shortest text: the pivot
+    for i in range(12):
+        tail = words(rng, 8)
+        rows += [(1 + 2 * i + j, " ".join(words(rng, 40 + i + j) + common + tail + words(rng, 25))) for j in range(2)]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {r.class_id for r in got.values()} == {0} and got[0].passages == "5:75"
+    for i in range(12):
+        for j in range(2):
+            assert got[1 + 2 * i + j].passages == f"{40 + i + j}:{118 + i + j}"
+
+
+def test_further_windows_of_the_pivot_text_meet(spark):
+    """The pivot text holds the passage twice, first in a piece; its other
+    window meets, too, and so does a pair whose first meeting was too short."""
+    rng = random.Random(15)
+    body = words(rng, 60)
+    rows = [(0, " ".join([*body[20:40], *words(rng, 3), *body])),
+            (1, " ".join(words(rng, 80) + body + words(rng, 80)))]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].class_id == got[1].class_id == 0
+    assert got[0].passages == "23:83" and got[1].passages == "80:140"

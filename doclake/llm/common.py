@@ -33,6 +33,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint root, as a qualified URI."""
     return qualified(spark, f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")

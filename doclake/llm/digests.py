@@ -19,12 +19,11 @@ Waves are never joined by a row's position, so an index outlives its session.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.llm.common import make_folder, shared_folder, text_or_empty, write_table
+from doclake.llm.bucketed import BucketedTable
+from doclake.llm.common import shared_folder, text_or_empty, write_table
 from doclake.llm.groups import join_groups
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -49,42 +48,30 @@ class DigestIndex:
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int, id_type: str = "bigint"):
-        self.spark, self.buckets = spark, buckets
-        tag = uuid.uuid4().hex[:12]
-        self.digests, self.sightings = f"digests_{tag}", f"sightings_{tag}"
-        for table, columns in ((self.digests, f"digest BINARY, keep_id {id_type}, keep_row BIGINT"),
-                               (self.sightings, "digest BINARY, n BIGINT")):
-            folder = f"{path.rstrip('/')}/{table.split('_')[0]}"
-            make_folder(spark, folder)
-            spark.sql(f"CREATE TABLE {table} ({columns}, wave STRING) USING parquet PARTITIONED BY (wave) "
-                      f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{folder}'")
-            spark.catalog.recoverPartitions(table)
-
-    def _put(self, rows: DataFrame, table: str, wave: str) -> None:
-        """Replace the wave's partition; one file a bucket."""
-        dealt = rows.repartition(self.buckets, "digest")
-        columns = ", ".join(c for c in self.spark.table(table).columns if c != "wave")
-        self.spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (wave = '{wave}') SELECT {columns} FROM {{rows}}", rows=dealt)
+        make = lambda name, columns: BucketedTable(
+            spark, f"{path.rstrip('/')}/{name}", f"digest BINARY, {columns}", ["digest"], buckets, "wave")
+        self.digests = make("digests", f"keep_id {id_type}, keep_row BIGINT")
+        self.sightings = make("sightings", "n BIGINT")
 
     def add(self, rows: DataFrame, wave: str) -> None:
         """Append what is new among ``rows`` (doc_id, row, digest) under the wave's name."""
         first = F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "row")).alias("r")
         groups = write_table(rows.groupBy("digest").agg(first, F.count(F.lit(1)).alias("n"))
                              .select("digest", "n", F.col("r.doc_id").alias("keep_id"), F.col("r.row").alias("keep_row")), "dd-groups")
-        known = self.spark.table(self.digests).filter(F.col("wave") != wave).select("digest").hint("merge")
-        new = groups.repartition(self.buckets, "digest").join(known, "digest", "left_anti")
-        self._put(write_table(new, "dd-new"), self.digests, wave)  # stored: a table cannot be read and replaced at once
-        self._put(groups, self.sightings, wave)
+        known = self.digests.read().filter(F.col("wave") != wave).select("digest").hint("merge")
+        new = self.digests.dealt(groups).join(known, "digest", "left_anti")
+        self.digests.put(write_table(new, "dd-new"), wave)  # stored: a table cannot be read and replaced at once
+        self.sightings.put(groups, wave)
 
     def figures(self) -> DataFrame:
         """(digest, keep_id, keep_row, wave, group_size) of all that was seen; no exchange."""
-        sizes = self.spark.table(self.sightings).groupBy("digest").agg(F.sum("n").alias("group_size"))
-        return self.spark.table(self.digests).hint("merge").join(sizes, "digest")
+        sizes = self.sightings.read().groupBy("digest").agg(F.sum("n").alias("group_size"))
+        return self.digests.read().hint("merge").join(sizes, "digest")
 
     def decisions(self, rows: DataFrame, wave: Column) -> DataFrame:
         """``rows`` with keep_id, group_size and kept; ``wave`` names the wave of a row."""
         f = self.figures().withColumnRenamed("wave", "keep_wave")
-        total = self.spark.table(self.sightings).agg(F.sum("n")).first()[0] or 0
+        total = self.sightings.read().agg(F.sum("n")).first()[0] or 0
         return (join_groups(rows, f, "digest", "group_size", total)
                 .withColumn("kept", (F.col("row") == F.col("keep_row")) & (wave == F.col("keep_wave")))
                 .drop("keep_row", "keep_wave"))
@@ -95,7 +82,7 @@ def keep_new(index: DigestIndex, docs: DataFrame, wave: str) -> DataFrame:
     stored = write_table(docs.withColumn("__row", F.monotonically_increasing_id()), "dd-docs")
     rows = stored.select("doc_id", F.col("__row").alias("row"), text_digest().alias("digest"))
     index.add(rows, wave)
-    mine = index.spark.table(index.digests).filter(F.col("wave") == wave).select(F.col("keep_row").alias("__row"))
+    mine = index.digests.only(wave).select(F.col("keep_row").alias("__row"))
     return stored.join(mine, "__row", "left_semi").drop("__row")
 
 

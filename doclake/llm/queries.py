@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from doclake.llm import decontaminate, digests, jaccard, lloyd, mixing, packing, passages, pii, shards, topk, toxicity, warc
+from doclake.llm import decontaminate, digests, jaccard, lloyd, mixing, packing, passages, pii, shards, strata, topk, toxicity, warc
 
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_pii": (pii.op1_pii, None),
@@ -17,6 +17,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op8_topk": (topk.op8_topk, topk.ORACLE_SQL),
     "op9_packing": (packing.op9_packing, None),
     "op10_toxicity": (toxicity.op10_toxicity, None),
+    "op11_ranked_search": (strata.op11_ranked_search, strata.ORACLE_SQL),
     "op12_vector_codes": (lloyd.op12_vector_codes, lloyd.ORACLE_SQL),
     "op13_exact_dedup": (digests.op13_exact_dedup, digests.ORACLE_SQL),
 }

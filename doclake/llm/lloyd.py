@@ -67,7 +67,8 @@ def nearest(x: np.ndarray, codebook: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def vectors(column) -> np.ndarray:
     """Binary parts as a matrix."""
-    return np.frombuffer(b"".join(column), np.int64).reshape(len(column), -1)
+    flat = np.frombuffer(b"".join(column), np.int64)
+    return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
 def residents(base, moves):
@@ -127,7 +128,7 @@ class ResidentLloyd:
             import pyarrow as pa
             for b in batches:
                 rid = b.column("rid").to_numpy()
-                x = b.column("v").flatten().to_numpy().reshape(len(rid), -1)
+                x = b.column("v").flatten().to_numpy().reshape(len(rid), cuts[-1])
                 for p, codebook in enumerate(codebooks):
                     part = np.ascontiguousarray(x[:, cuts[p]: cuts[p + 1]])
                     yield pa.RecordBatch.from_arrays(
@@ -194,7 +195,8 @@ def compress(rows: DataFrame, parts: int = 8, entries: int = 16, rounds: int = 6
     one = vecs.orderBy(*order).limit(1).collect()
     size = len(one[0]["v"]) if one else 0
     vecs = vecs.filter(F.size("v") == size)
-    start = np.array([r["v"] for r in vecs.orderBy(*order).limit(entries).collect()], np.int64).reshape(-1, size)
+    start = [r["v"] for r in vecs.orderBy(*order).limit(entries).collect()]
+    start = np.array(start, np.int64).reshape(len(start), size)
     cuts = [i * size // parts for i in range(parts + 1)]
     if not one:
         return vecs.select("rid", "vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error")), []

@@ -272,13 +272,18 @@ def q_prices_tsv(spark, root):
 
 
 @register("duplicate_vintage_keys", f"""
+WITH v AS ({VINTAGES_SQL})
 SELECT winery__id, wine_id, vintages__id, count(*) AS n_rows
-FROM ({VINTAGES_SQL}) GROUP BY winery__id, wine_id, vintages__id HAVING count(*) > 1
+FROM (SELECT * FROM v UNION ALL SELECT * FROM v WHERE wine_file LIKE 'wines-%' AND CAST(split_part(wine_file, '-', 2) AS INTEGER) % 4 = 1)
+GROUP BY winery__id, wine_id, vintages__id HAVING count(*) > 1
 """)
 def q_duplicate_vintage_keys(spark, root):
-    """The flat vintages table checked for repeated (winery, wine, vintage)."""
+    """The flat vintages table checked for repeated (winery, wine, vintage):
+    every fourth winery's documents were fetched twice."""
     from doclake.operators.wide import duplicate_keys
-    return duplicate_keys(FL.flatten_vintages(wines_docs(spark, root)), ["winery__id", "wine_id", "vintages__id"])
+    docs = wines_docs(spark, root)
+    again = docs.filter(F.split("file_name", "-")[1].cast("int") % 4 == 1)
+    return duplicate_keys(FL.flatten_vintages(docs.unionByName(again)), ["winery__id", "wine_id", "vintages__id"])
 
 
 @register("export_counters", f"""

@@ -16,6 +16,7 @@ from doclake.operators import responses as R
 from doclake.operators.flatten import REVIEWS_FILE_RE
 from doclake.session import scratch_path
 from doclake.sinks.files import insert_if_absent, land_raw
+from doclake.sinks.keyed import KeyedTable
 from doclake.sources.tables import Tables
 
 
@@ -124,3 +125,22 @@ def q_insert_if_absent(spark, root):
     insert_if_absent(spark, path, late.unionByName(none).withColumn("batch", F.lit(2)), "o_orderkey",
                      order=["o_orderpriority"])
     return spark.read.parquet(path)
+
+
+@register("keyed_insert", """
+SELECT o_orderkey, o_orderstatus, o_orderpriority, batch, n_rejected
+FROM (SELECT o_orderkey, o_orderstatus, o_orderpriority, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'first' ELSE 'second' END AS batch
+      FROM orders),
+     (SELECT 2 * count(*) + count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS n_rejected FROM orders)
+""")
+def q_keyed_insert(spark, root):
+    """Every order by two batches that overlap, the second one sent twice."""
+    o = Tables(spark, root).orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    table = KeyedTable(spark, scratch_path(spark, "keyed-orders"), "o_orderkey", parts=16)
+    table.insert(o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")), "first")
+    # every order twice, once with another priority, and rows without a key
+    late = o.unionByName(o.withColumn("o_orderpriority", F.lit("9-LATER"))).unionByName(
+        o.withColumn("o_orderkey", F.lit(None).cast("bigint")))
+    for _ in range(2):
+        _, rejected = table.insert(late, "second", order=["o_orderpriority"])
+    return table.read().withColumnRenamed("_batch", "batch").drop("_part").withColumn("n_rejected", F.lit(rejected.count()))

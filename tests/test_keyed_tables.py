@@ -1,0 +1,100 @@
+"""Tables that grow by key, and the wide table from parts stored by key."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from doclake.operators.wide import CoLocatedParts, wide_join
+from doclake.sinks.files import insert_if_absent, land_raw
+from doclake.sinks.keyed import KeyedTable
+
+
+def files_read(df):
+    """(files, partitions) that the scan of ``df`` read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    m = plan.collectLeaves().head().metrics()
+    return m.get("numFiles").get().value(), m.get("numPartitions").get().value() if m.contains("numPartitions") else None
+
+
+def test_insert_takes_new_keys_once(spark, tmp):
+    t = KeyedTable(spark, f"{tmp}/t", "k", parts=8)
+    first = spark.createDataFrame([(i, f"a{i}") for i in range(50)], "k int, v string")
+    ins, rej = t.insert(first, "one")
+    assert (ins.count(), rej.count()) == (50, 0)
+    second = spark.createDataFrame([(i, f"b{i}") for i in range(40, 60)] * 2 + [(70, "z"), (70, "y"), (None, "n")], "k int, v string")
+    ins, rej = t.insert(second, "two")
+    assert sorted((r.k, r.v) for r in ins.collect()) == [(i, f"b{i}") for i in range(50, 60)] + [(70, "y")]
+    assert rej.count() == 43 - 11
+    assert t.read().count() == 61 and t.read().select("k").distinct().count() == 61
+    assert {r["k"]: r["v"] for r in rows(t.read())}[45] == "a45"
+
+
+def test_repeated_and_broken_batches_change_nothing(spark, tmp):
+    t = KeyedTable(spark, f"{tmp}/t", "k", parts=4)
+    t.insert(spark.createDataFrame([(i, "a") for i in range(30)], "k int, v string"), "one")
+    batch = spark.createDataFrame([(i, "b") for i in range(20, 60)], "k int, v string")
+    t.insert(batch, "two")
+    want = rows(t.read(), "k")
+    for _ in range(2):
+        t.insert(batch, "two")
+        assert rows(t.read(), "k") == want
+    t.insert(spark.createDataFrame([(i, "c") for i in range(200)], "k int, v string"), "three")
+    now = rows(t.read(), "k")
+    t.insert(batch, "two")  # again, after others
+    assert rows(t.read(), "k") == now and len(now) == 200
+
+
+def test_few_keys_read_few_partitions(spark, tmp):
+    t = KeyedTable(spark, f"{tmp}/t", "k", parts=32)
+    t.insert(spark.range(2000).select(F.col("id").alias("k"), F.lit("x" * 20).alias("v")), "one")
+    assert t.read().select("_part").distinct().count() == 32
+    touched = [r[0] for r in spark.createDataFrame([(5,), (6,)], "k long").select(
+        F.pmod(F.xxhash64("k"), F.lit(32)).cast("int")).distinct().collect()]
+    files, partitions = files_read(t.known(touched, "two"))
+    assert partitions == len(touched) <= 2 and files <= 2 * len(touched)
+    plan = t.known(touched, "two")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:bigint>" in plan
+
+
+def test_columns_without_an_order(spark, tmp):
+    """A map column does not stop the choice between rows of one key."""
+    df = spark.createDataFrame([(1, {"b": 2}, [{"x": 1}]), (1, {"a": 1}, [{"x": 1}]), (2, None, None)],
+                               "k int, m map<string,int>, l array<map<string,int>>")
+    for insert in (lambda: insert_if_absent(spark, f"{tmp}/a", df, "k"), lambda: KeyedTable(spark, f"{tmp}/b", "k").insert(df, "one")):
+        ins, rej = insert()
+        assert sorted((r.k, r.m) for r in ins.collect()) == [(1, {"a": 1}), (2, None)] and rej.count() == 1
+
+
+def test_land_raw_reads_back_its_own_partition(spark, tmp):
+    doc = lambda i: spark.createDataFrame([(f"wine-{i}-reviews-page-1-.json", '{"reviews": []}')], "file_name string, body string")
+    from doclake.operators.flatten import REVIEWS_FILE_RE
+    land_raw(doc(1), f"{tmp}/raw", REVIEWS_FILE_RE, 2)
+    second = land_raw(doc(2), f"{tmp}/raw", REVIEWS_FILE_RE, 2)
+    assert [r.key for r in second.collect()] == [2] and len(second.inputFiles()) == 1
+    assert spark.read.parquet(f"{tmp}/raw").count() == 2
+
+
+def sides(spark):
+    fact = spark.createDataFrame([(1 if i % 3 == 0 else i % 90, i) for i in range(900)] + [(None, 1)], "id int, r int")
+    prices = spark.createDataFrame([(i, i * 2, "p") for i in range(0, 100, 2)] + [(1, 7, "q"), (1, 8, "q")], "id int, price int, r string")
+    vintages = spark.createDataFrame([(i, f"n{i}") for i in range(0, 200, 3)] + [(1, "one"), (None, "none")], "vid int, name string")
+    return fact, prices, vintages
+
+
+@pytest.mark.parametrize("keep_key", [False, True])
+def test_co_located_parts_equal_the_wide_join(spark, tmp, keep_key):
+    fact, prices, vintages = sides(spark)
+    parts = CoLocatedParts(fact, prices, vintages, f"{tmp}/w", fact_key="id", price_key="id", vintage_key="vid", buckets=6)
+    got = parts.joined(keep_key)
+    want = wide_join(fact, prices, vintages, fact_price_key="id", price_key="id", fact_vintage_key="id", vintage_key="vid", keep_key=keep_key)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # the key with a third of the rows lies apart on every side
+    assert parts.heavy[0].filter("id = 1").count() == 310 and parts.even[0].filter("id = 1").count() == 0
+
+
+def test_co_located_parts_join_without_an_exchange(spark, tmp):
+    parts = CoLocatedParts(*sides(spark), f"{tmp}/w", fact_key="id", price_key="id", vintage_key="vid", buckets=6)
+    plan = parts.joined()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" not in plan

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from doclake.llm.bucketed import BucketedTable
 from doclake.llm.common import shared_folder, write_table
-from doclake.llm.groups import join_groups
+from doclake.llm.groups import MOST, join_groups
 
 NO_ID = np.iinfo(np.int64).max  # a null id in the blocks
 #: A-Z become a-z; what belongs to no term becomes a blank; bytes of non-ASCII characters stay.
@@ -111,18 +111,22 @@ class StratifiedIndex:
                              ("terms", pa.string()), ("df", pa.list_(pa.int32())), ("maxtf", pa.list_(pa.int32())),
                              *[(c, pa.binary()) for c in ("groups", "tf", "size", "at")]])
             for b in batches:
-                for row in zip(*[b.column(c).to_pylist() for c in ("m", "rid", "id", "terms", "tfs")], strict=True):
+                for *row, tfs in zip(*[b.column(c).to_pylist() for c in ("m", "rid", "id", "terms", "tfs")], strict=True):
                     if docs and (row[0] != stratum or len(docs) >= block_docs or size >= block_postings):
                         yield pa.RecordBatch.from_pylist([block_row(stratum, docs)], out)
                         docs, size = [], 0
                     stratum = row[0]
-                    docs.append(row[1:])
-                    size += len(row[4]) // 4
+                    docs.append((*row[1:], tfs))
+                    size += len(tfs) // 4
             if docs:
                 yield pa.RecordBatch.from_pylist([block_row(stratum, docs)], out)
-        # a stratum of any share is cut by the second key
-        dealt = (forward.select(m.alias("m"), F.xxhash64("rid").alias("salt"), "rid", "id", "terms", "tfs")
-                 .repartitionByRange(tasks, "m", "salt").sortWithinPartitions("m", "salt"))
+        # strata of more than 1 / MOST of all documents, fewer than MOST, are cut by a salt; others are small
+        forward = forward.withColumn("m", m)
+        large = (forward.groupBy("m").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") * MOST > self.n_docs)
+                 .select("m", F.ceil(F.col("size") / block_docs).alias("salts")))
+        salt = F.pmod(F.xxhash64("rid"), F.coalesce("salts", F.lit(1))).cast("int")
+        dealt = (forward.join(F.broadcast(large), "m", "left").select("m", salt.alias("salt"), "rid", "id", "terms", "tfs")
+                 .repartition(tasks, "m", "salt").sortWithinPartitions("m", "salt"))
         blocks = dealt.mapInArrow(build, BLOCK).withColumn("g", F.pmod(F.xxhash64("first"), F.lit(self.groups)).cast("int"))
         self.blocks = BucketedTable(spark, shared_folder(spark, "st-index"), f"{BLOCK}, g int", ["g"], tasks, "made")
         self.blocks.put(blocks, "first")

@@ -71,7 +71,7 @@ def test_land_raw_reads_back_its_own_partition(spark, tmp):
     from doclake.operators.flatten import REVIEWS_FILE_RE
     land_raw(doc(1), f"{tmp}/raw", REVIEWS_FILE_RE, 2)
     second = land_raw(doc(2), f"{tmp}/raw", REVIEWS_FILE_RE, 2)
-    assert [r.key for r in second.collect()] == [2] and len(second.inputFiles()) == 1
+    assert [r.key for r in second.collect()] == [2] and len({f.split("landing=")[1][:32] for f in second.inputFiles()}) == 1
     assert spark.read.parquet(f"{tmp}/raw").count() == 2
 
 

@@ -11,16 +11,18 @@ d <= 1 - threshold. Documents with equal shingle sets form one class first.
    bound, so a linked pair meets in at least one region.
 2. In a region, the class whose windows are shared most becomes the pivot and
    every other member's exact distance to it is taken; members within the
-   bound link to it.
-   Pairs that cannot reach the threshold by the windows' own overlap are left
-   out before (a bound, not an estimate).
-3. Where a region still holds members of several components, it is joined
-   again, recursively, with more pivots (8, 64, ...). A pair is skipped
-   only if it is in one component already, or if sizes or the triangle
-   inequality over the region's first pivot (|d(x,p) - d(y,p)| > 1 -
-   threshold) rule it out. The recursion ends when no region holds two
-   components of unresolved members, so no link is lost and pairs inside a
-   large group of copies are never listed.
+   bound link to it. Regions of few members are compared directly; pairs that
+   cannot reach the threshold by the windows' own overlap are left out before
+   (a bound, not an estimate).
+3. Where a region still holds members of several components it is divided and
+   joined again, recursively: two linked members that do not both link to the
+   pivot share a shingle outside the pivot, but for a few that the pivot holds
+   nearly whole (see ``residual_regions``). So members meet again under the
+   rarest shingles of what the pivot lacks, and those few in a region whose
+   pivot is its smallest member, where the exception cannot occur.
+4. What is open after some levels is compared with more pivots (8, 64, ...)
+   until no region holds two components of unresolved members, so no link is
+   lost and pairs inside a large group of copies are never listed.
 
 Regions of frequent shingles are built by aggregates and joins that AQE can
 split; all others by one exchange and a streaming pass.
@@ -230,46 +232,146 @@ def _size_ok(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
+def measured(pairs: DataFrame, docs: DataFrame, reps: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(c, p, a, d, linked, us) of distinct stored pairs (c, p, lo), stored:
+    the overlap with the pivot, and the class's residual window, which any
+    partner of ``lo`` shingles or more shares unless the pivot alone may hold
+    the needed overlap.
+
+    A partner needs t = percent / (100 + percent) * (n + its size) common
+    shingles; at most a of them lie in the pivot, so max(1, t - a) lie outside,
+    and the first (n - a) - max(1, t - a) + 1 shingles outside, in the global
+    order, cannot all be missed.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(sketch, (1 << 32) - 1).astype(np.uint32))
+    sets = sets_of(docs, reps, pairs.select("c").union(pairs.select("p")).distinct(), width)
+    a, b = sets.select("c", F.col("items").alias("x")), sets.select(F.col("c").alias("p"), F.col("items").alias("y"))
+    both = pairs.join(a.hint("merge"), "c").join(b.hint("merge"), "p").select("c", "p", "lo", "x", "y")
+
+    def task(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        freq = shared.value
+        for batch in batches:
+            out = []
+            for i in range(len(batch)):
+                x, y = (batch.column(k)[i].values.to_numpy().view(np.uint64) for k in ("x", "y"))
+                rest = np.setdiff1d(x, y, assume_unique=True)
+                n, common = len(x), len(x) - len(rest)
+                least = max(batch.column("lo")[i].as_py(), -(-percent * n // 100))
+                needed = -(-percent * (n + least) // (100 + percent))
+                first = np.lexsort((rest, freq[rest & np.uint64((1 << SKETCH_BITS) - 1)]))[: max(0, len(rest) - max(1, needed - common) + 1)]
+                union = n + len(y) - common
+                out.append((common, 1 - common / union, 100 * common >= percent * union, rest[first].view(np.int64)))
+            common, d, linked, us = zip(*out, strict=True) if out else ((), (), (), ())
+            yield _batch(["c", "p", "a", "d", "linked", "us"], batch.column("c"), batch.column("p"), pa.array(common, pa.int32()),
+                         pa.array(d, pa.float64()), pa.array(linked, pa.bool_()), pa.array(us, pa.list_(pa.int64())))
+    return write_table(both.mapInArrow(task, "c long, p long, a int, d double, linked boolean, us array<long>")
+                       .dropDuplicates(["c", "p"]), "jx-measured")
+
+
+FEW = 8  # members of a region that are compared directly
+
+
+def open_members(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Members, with labels, of the regions that hold several components, stored."""
+    m = (members.join(label.withColumnRenamed("node", "c"), "c", "left")
+         .select(*members.columns, F.coalesce("root", "c").alias("label")))
+    several = m.groupBy("s").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1").select("s")
+    return write_table(m.join(several, "s"), "jx-open")
+
+
+def all_pairs(m: DataFrame, known: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+    """Possible pairs (c, p), not known yet, of members of a region that lie in
+    different components, stored. For regions of at most ``FEW`` members."""
+    q = m.select("s", F.col("c").alias("p"), F.col("n").alias("pn"), F.col("label").alias("q_label"))
+    pairs = (m.join(q, "s").filter((F.col("c") > F.col("p")) & (F.col("label") != F.col("q_label")) & _size_ok("n", "pn", percent))
+             .select("c", "p").distinct())
+    return possible(_unknown(pairs, known), sig, percent)
+
+
+def _unknown(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    return pairs.join(known.select(F.greatest("c", "p").alias("c"), F.least("c", "p").alias("p")), ["c", "p"], "left_anti")
+
+
+def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int, percent: int, levels: int = 3) -> DataFrame:
     """Links (c, p) between classes that connect every component."""
-    bound = 1 - percent / 100 + 1e-9
     total = rows.agg(F.sum("n")).first()[0] or 0
     conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seeds = seed_rows(docs, sketch, width, percent, hot=max(4096, 4 * (total >> SKETCH_BITS)))
-    reg = regions(seeds, max(conf, total // 2_000_000))
-    member = memberships(reg)
+    member = memberships(regions(seeds, max(conf, total // 2_000_000)))
     sig, reps = signatures(member), representatives(rows.filter("n > 0"))
-    first = write_table(member.groupBy("s").agg(F.max(F.struct("w", "c", "n")).alias("m"))
-                        .select("s", F.col("m.c").alias("p"), F.col("m.n").alias("pn")), "jx-pivots")
-    reg = write_table(member.join(first, "s").filter("c <> p"), "jx-regions")
-    pairs = possible(reg.filter(_size_ok("n", "pn", percent)).select("c", "p").distinct(), sig, percent)
-    known = distances(pairs, docs, reps, width, percent)
-    members = write_table(reg.join(known.select("c", "p", "d"), ["c", "p"], "left").select("s", "c", "n", "w", "d"), "jx-members")
-    pivots, last, label = 8, None, None
+    nobody = member.limit(0)
+    known = nobody.select("c", F.col("c").alias("p"), F.lit(0.0).alias("d"), F.lit(False).alias("linked"))
+    label = nobody.select(F.col("c").alias("node"), F.col("c").alias("root"))
+    # low: the smallest member becomes the pivot instead of the central one
+    members = member.withColumn("low", F.lit(False))
+    for _ in range(levels):
+        m = open_members(members, label)
+        if m.isEmpty():
+            break
+        size = write_table(m.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("lo"), F.max(F.struct(
+            F.when(F.col("low"), -F.col("n")).otherwise(F.col("w")), "w", "c", "n")).alias("m"))
+            .select("s", "k", "lo", F.col("m.c").alias("p"), F.col("m.n").alias("pn")), "jx-pivots")
+        few = all_pairs(m.join(size.filter(F.col("k") <= FEW).select("s"), "s"), known, sig, percent)
+        if not few.isEmpty():
+            known = known.unionByName(distances(few, docs, reps, width, percent))
+        near = write_table(m.join(size.filter(F.col("k") > FEW), "s").filter("c <> p"), "jx-near")
+        pairs = write_table(near.groupBy("c", "p").agg(F.min("lo").alias("lo")), "jx-pairs")
+        if pairs.isEmpty():
+            members = nobody.withColumn("low", F.lit(False))
+        else:
+            exact = measured(pairs, docs, reps, sketch, width, percent)
+            known = known.unionByName(exact.select("c", "p", "d", "linked"))
+            members = residual_regions(near, exact, percent)
+        known = write_table(known, "jx-known")
+        label = write_table(components(known.filter("linked").select(F.col("c").alias("a"), F.col("p").alias("b"))), "jx-label")
+    return exhaust(members.select("s", "c", "n", "w"), label, known, sig, docs, reps, width, percent)
+
+
+def residual_regions(near: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
+    """(s, c, n, w, low), stored: the regions in which the pairs that a pivot
+    leaves open meet again.
+
+    Two linked members that do not both link to their pivot p either share a
+    shingle outside p, and meet in that shingle's region, or p alone may hold
+    their needed overlap t, min(a, a') >= t. In the second case one of them
+    does not link to p and the other is smaller than p. Those few form the
+    region again without p; there the smallest member is the pivot, and the
+    second case cannot occur: a >= t of the pair implies a >= t with a
+    smaller p, a link.
+    """
+    both = near.join(exact, ["c", "p"])
+    outside = both.select(F.explode("us").alias("s"), "c", "n", "w").distinct().withColumn("low", F.lit(False))
+    # the largest partner whose needed overlap with x the pivot may hold
+    most = F.floor(F.col("a") * (100 + percent) / F.lit(percent)) - F.col("n")
+    least = F.greatest("lo", F.ceil(F.col("n") * percent / F.lit(100)))
+    inside = write_table(both.filter(~F.col("low") & (most >= least)).select("s", "c", "n", "w", "linked", most.alias("most")), "jx-inside")
+    cap = inside.filter("not linked").groupBy("s").agg(F.max("most").alias("cap"))
+    again = (inside.join(cap, "s").filter((F.col("n") <= F.col("cap")) | ~F.col("linked"))
+             .select(F.xxhash64("s", F.lit(1)).alias("s"), "c", "n", "w").withColumn("low", F.lit(True)))
+    return write_table(outside.unionByName(again), "jx-members")
+
+
+def exhaust(members: DataFrame, label: DataFrame, known: DataFrame, sig: DataFrame, docs: DataFrame, reps: DataFrame,
+            width: int, percent: int) -> DataFrame:
+    """Links after comparing what is still open: in each round the rarest
+    components' members are pivots (8, 64, ...) for the rest of their region."""
+    pivots = FEW
     while True:
-        links = known.filter("linked").select("c", "p")
-        if label is None or links.count() != last:
-            last, label = links.count(), components(links.toDF("a", "b"))
-        m = (members.join(label.withColumnRenamed("node", "c"), "c", "left")
-             .select("s", "c", "n", "w", "d", F.coalesce("root", "c").alias("label")))
-        several = m.groupBy("s").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1").select("s")
-        m = write_table(m.join(several, "s"), "jx-open")
+        m = open_members(members, label)
         if m.isEmpty():
-            return links
-        # members of the region's rarest components become pivots first
+            return known.filter("linked").select("c", "p")
         share = write_table(m.groupBy("s", "label").agg(F.count(F.lit(1)).alias("k")), "jx-share")
         rank = F.row_number().over(Window.partitionBy("s").orderBy("k", F.desc("w"), "label", "c"))
         m = write_table(m.join(share, ["s", "label"]).withColumn("r", rank).drop("k"), "jx-ranked")
-        q = m.filter(F.col("r") <= pivots).select("s", *[F.col(x).alias(f"q_{x}") for x in ("c", "n", "d", "label", "r")])
-        near = F.coalesce(F.abs(F.col("d") - F.col("q_d")) <= bound, F.lit(True))
-        pairs = (m.join(q, "s").filter((F.col("r") > F.col("q_r")) & (F.col("label") != F.col("q_label")) & near
-                                       & _size_ok("n", "q_n", percent))
-                 .select(F.greatest("c", "q_c").alias("c"), F.least("c", "q_c").alias("p")).distinct()
-                 .join(known.select(F.greatest("c", "p").alias("c"), F.least("c", "p").alias("p")), ["c", "p"], "left_anti"))
-        pairs = possible(pairs, sig, percent)
+        q = m.filter(F.col("r") <= pivots).select("s", *[F.col(x).alias(f"q_{x}") for x in ("c", "n", "label", "r")])
+        pairs = (m.join(q, "s").filter((F.col("r") > F.col("q_r")) & (F.col("label") != F.col("q_label")) & _size_ok("n", "q_n", percent))
+                 .select(F.greatest("c", "q_c").alias("c"), F.least("c", "q_c").alias("p")).distinct())
+        pairs = possible(_unknown(pairs, known), sig, percent)
         if not pairs.isEmpty():
             known = write_table(known.unionByName(distances(pairs, docs, reps, width, percent)), "jx-known")
-        members = m.filter(F.col("r") > pivots).select("s", "c", "n", "w", "d")
+            label = write_table(components(known.filter("linked").select(F.col("c").alias("a"), F.col("p").alias("b"))), "jx-label")
+        members = m.filter(F.col("r") > pivots).select("s", "c", "n", "w")
         pivots *= 8
 
 

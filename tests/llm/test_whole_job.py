@@ -94,3 +94,47 @@ def test_further_windows_of_the_pivot_text_meet(spark):
     got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0].class_id == got[1].class_id == 0
     assert got[0].passages == "23:83" and got[1].passages == "80:140"
+
+
+def test_unlinked_texts_around_one_passage_are_not_listed_by_pairs(spark, monkeypatch):
+    """3,000 texts of one common passage and endings of their own, near the
+    threshold but below it, with some linked pairs among them: every link is
+    found and the compared pairs grow with the texts, not with their square."""
+    rng = random.Random(16)
+    common = words(rng, 64)
+    rows = [(i, " ".join([*common, *words(rng, 12)])) for i in range(3000)]
+    a, b = brute.shingles(rows[0][1]), brute.shingles(rows[1][1])
+    assert 0.68 < len(a & b) / len(a | b) < 0.8
+    for i in range(0, 400, 10):  # the ending's last word changed: linked with its model only
+        rows.append((5000 + i, " ".join([*rows[i][1].split()[:-1], "other"])))
+    compared = 0
+    store = jaccard.write_table
+
+    def counted(df, name, *more):
+        nonlocal compared
+        out = store(df, name, *more)
+        if name in ("jx-pairs", "jx-near", "jx-possible", "jx-ranked"):
+            compared += out.count()
+        return out
+    monkeypatch.setattr(jaccard, "write_table", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
+    assert compared < 20 * len(rows), compared
+
+
+def test_groups_of_sizes_that_a_large_pivot_holds(spark):
+    """Pieces of one long text: the pivot holds small members nearly whole
+    without being linked to them, and they are linked with each other."""
+    rng = random.Random(17)
+    long = words(rng, 140)
+    rows = [(0, " ".join(long))]
+    for i in range(60):
+        n = rng.randrange(88, 135)
+        at = rng.randrange(0, 140 - n)
+        piece = list(long[at: at + n])
+        if i % 3:
+            piece[rng.randrange(n)] = f"edit{i}"
+        rows.append((i + 1, " ".join(piece)))
+    got = sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in
+                           jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+    assert got == sorted(map(str, brute.jaccard_components(rows)))

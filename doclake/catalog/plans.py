@@ -16,6 +16,7 @@ from doclake.catalog.render import wines_docs
 from doclake.operators.flatten import winery_info
 from doclake.operators.indexing import round_robin
 from doclake.plans import planning as P
+from doclake.plans.bitmaps import backlog_counts, id_range_minus
 from doclake.plans.requests import BASE_URL, prices_request, reviews_request, wines_request, winery_request
 from doclake.sources import lines as L
 from doclake.sources.tables import Tables
@@ -158,6 +159,33 @@ def q_backlog_stats(spark, root):
     return P.backlog_stats(price_work(spark, root).select("wine_id"), finished(spark, root))
 
 
+@register("backlog_bitmaps", """
+WITH listed AS (SELECT l_orderkey AS wine_id FROM lineitem WHERE (l_orderkey + l_linenumber) % 8 >= 5),
+saved AS (SELECT o_orderkey AS wine_id FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 5 <> 0)
+SELECT (SELECT count(*) FROM listed) AS rows_to_load,
+       (SELECT count(*) FROM saved) AS rows_saved,
+       (SELECT count(*) FROM (SELECT wine_id FROM listed EXCEPT SELECT wine_id FROM saved)) AS distinct_not_loaded
+""")
+def q_backlog_bitmaps(spark, root):
+    """The backlog from bitmaps of the listed and the saved ids."""
+    return backlog_counts(price_work(spark, root).select("wine_id"), finished(spark, root))
+
+
+@register("range_bitmaps", """
+WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) + 100 AS hi FROM orders),
+r AS (SELECT unnest(generate_series(lo, hi)) AS id FROM b)
+SELECT id FROM r
+WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+  AND id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
+""")
+def q_range_bitmaps(spark, root):
+    """The range plan from bitmaps of the saved and the 404 ids."""
+    o = Tables(spark, root).orders
+    lo, hi = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    taken = [o.filter(F.col("o_orderstatus") == s).select(F.col("o_orderkey").alias("id")) for s in ("F", "P")]
+    return id_range_minus(spark, int(lo), int(hi) + 100, *taken)
+
+
 @register("round_robin", """
 WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders),
 n AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS nidx, count(*) OVER () AS cnt FROM nation)

@@ -1,7 +1,8 @@
 """Sharding by histogram sort.
 
 Rows are ordered by a 128-bit key: the hash of the text, so equal texts lie
-side by side, then a hash of the row. Only the narrow keys and sizes are
+side by side, then a hash of the id, and a few bits that tell repeated rows
+apart; how the input is partitioned does not matter. Only the narrow keys and sizes are
 scanned while splitters are looked for: in each round every task counts the
 exact bytes and rows below a set of probe keys, and the probes close in on
 those splitters whose byte count is not yet within the tolerance. The same
@@ -9,7 +10,7 @@ rounds find finer cuts that bound the rows of a sort task. Then rows are
 exchanged once, by range, and numbered in key order.
 
 Defined cases: null text has 0 bytes; rows with equal text and id are told
-apart by position; an empty table gives an empty result; a shard without
+apart by position and are interchangeable; an empty table gives an empty result; a shard without
 rows is possible when there are fewer rows than shards. Other columns of the
 input are ignored.
 """
@@ -28,13 +29,17 @@ KEY_BITS = 128
 
 
 def keyed_rows(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, size, text_crc32): stored, one narrow row per document."""
-    text = F.coalesce("text", F.lit(""))
-    t = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text.alias("t"))
-    # big-endian unsigned: hex of the two hashes, the first one's order does not matter
-    key = F.unhex(F.concat(F.lpad(F.hex(F.xxhash64("t")), 16, "0"),
-                           F.lpad(F.hex(F.xxhash64("doc_id", "rid", F.lit(7))), 16, "0")))
-    return write_table(t.select(key.alias("key"), "doc_id", (F.octet_length("t") + 16).cast("long").alias("size"),
+    """(key, rid, doc_id, size, text_crc32): stored, one narrow row per document."""
+    return keys_of(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"))
+
+
+def keys_of(rows: DataFrame) -> DataFrame:
+    """``keyed_rows`` of numbered rows (rid, doc_id, text)."""
+    t = rows.select("rid", "doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    part = lambda h, digits: F.substring(F.lpad(F.hex(h), 16, "0"), 1, digits)
+    # big-endian unsigned: 64 bits of the text, 48 of the id, 16 of the row
+    key = F.unhex(F.concat(part(F.xxhash64("t"), 16), part(F.xxhash64("doc_id", F.lit(7)), 12), part(F.xxhash64("rid", F.lit(9)), 4)))
+    return write_table(t.select(key.alias("key"), "rid", "doc_id", (F.octet_length("t") + 16).cast("long").alias("size"),
                                 F.crc32(F.encode("t", "utf-8")).alias("text_crc32")), "shard-keys")
 
 
@@ -150,7 +155,7 @@ def shard_rows(rows: DataFrame, n_shards: int = 40, tolerance: float = 0.0005,
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(at.astype(np.int32)), pa.array(shard[at]), pa.array(offset[at])],
                 names=[*b.schema.names, "bin", "shard", "off"])
-    kinds = "key binary, doc_id long, size long, text_crc32 long, bin int, shard int, off long"
+    kinds = "key binary, rid long, doc_id long, size long, text_crc32 long, bin int, shard int, off long"
     dealt = rows.mapInArrow(deal, kinds)
     # the only exchange of rows: by bin, a key range with a bounded number of rows
     w = Window.partitionBy("bin").orderBy("key")
@@ -158,15 +163,15 @@ def shard_rows(rows: DataFrame, n_shards: int = 40, tolerance: float = 0.0005,
 
 
 def write_shards(docs: DataFrame, path: str, **params) -> None:
-    """Write the documents, one sorted folder per shard, in slot order."""
-    keys = keyed_rows(docs)
-    plan = write_table(shard_rows(keys, **params), "shard-plan")
-    text = docs.withColumn("__crc", F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")))
-    p = plan.groupBy("doc_id", "text_crc32").agg(F.min(F.struct("shard", "slot")).alias("p"))
-    out = text.join(p.select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__c"), "p.shard", "p.slot"),
-                    F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__crc") == F.col("__c")))
-    (out.drop("__id", "__c", "__crc").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    """Write the documents, one sorted folder per shard, as planned: columns
+    ``shard`` (the folders) and ``slot`` are added; where the documents have
+    such a column, it stays and the added one is called ``__shard`` or ``__slot``."""
+    stored = write_table(docs.withColumn("__row", F.monotonically_increasing_id()), "shard-docs")
+    shard, slot = ("__shard" if "shard" in docs.columns else "shard"), ("__slot" if "slot" in docs.columns else "slot")
+    plan = shard_rows(keys_of(stored.select(F.col("__row").alias("rid"), "doc_id", "text")), **params)
+    plan = write_table(plan.select(F.col("rid").alias("__row"), F.col("shard").alias(shard), F.col("slot").alias(slot)), "shard-plan")
+    (stored.join(plan.hint("merge"), "__row").drop("__row").repartitionByRange(shard, slot).sortWithinPartitions(shard, slot)
+     .write.partitionBy(shard).parquet(path))
 
 
 def op5_sharding(spark, sf_dir: str) -> DataFrame:

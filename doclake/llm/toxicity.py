@@ -5,8 +5,8 @@ columns; a text's value in a column is 1 if it has such a term. The machine
 learns a weight per column and a short vector per column, whose products
 weigh pairs of terms, so that two terms together can count for more than
 their sum. It is fitted in one task on a bounded sample of labelled rows
-(``max_labelled``, those with the smallest hash); every text is then scored
-whole, in parallel.
+(``max_labelled`` different ones, those with the smallest hash; rows equal in
+id, text and label count once); every text is then scored whole, in parallel.
 
 Defined cases: null and empty texts get the machine's bias as score; ids
 without labels are scored alike; labels that repeat or disagree are used as
@@ -57,32 +57,36 @@ def _score(w0: float, w: np.ndarray, v: np.ndarray, idx: np.ndarray, ptr: np.nda
     return w0 + lin + 0.5 * ((s ** 2).sum(axis=1) - sq), s, row
 
 
-def informative(rows: list[np.ndarray], y: np.ndarray, size: int, min_docs: int, min_chi2: float) -> np.ndarray:
-    """Columns whose presence tells the labels apart."""
+def informative(rows: list[np.ndarray], y: np.ndarray, size: int, min_docs: int, min_chi2: float) -> tuple[np.ndarray, np.ndarray]:
+    """Columns in ``min_docs`` rows or more, and those of them whose presence tells the labels apart."""
     flat = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
     seen = np.bincount(flat, minlength=size).astype(float)
     hit = np.bincount(flat, weights=np.repeat(y, [len(r) for r in rows]), minlength=size)
     n, pos = float(len(y)), float(y.sum())
     spread = seen * (n - seen) * pos * (n - pos)
     chi2 = np.divide(n * (n * hit - seen * pos) ** 2, spread, out=np.zeros(size), where=spread > 0)
-    return (seen >= min_docs) & (chi2 >= min_chi2)
+    often = seen >= min_docs
+    return often, often & (chi2 >= min_chi2)
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, bits: int, rank: int = 4, epochs: int = 12, rate: float = 0.1,
-        l2: float = 2e-3, l2_pairs: float = 2e-2, min_docs: int = 3, min_chi2: float = 25.0, batch: int = 256,
-        seed: int = 5) -> dict:
+        l2: float = 2e-3, l2_pairs: float = 0.1, min_docs: int = 3, min_chi2: float = 25.0, batch: int = 256,
+        seed: int = 5, pair_docs: int = 50, pair_rate: float = 0.2) -> dict:
     """Factorization machine by adaptive gradient steps on the logistic loss.
 
     Columns in fewer than ``min_docs`` sampled rows, or whose presence and the
-    label have a chi-square below ``min_chi2``, keep weight 0. Positive rows
-    weigh as much as all others together, up to a factor of 4.
+    label have a chi-square below ``min_chi2``, keep weight 0; every column in
+    ``pair_docs`` rows or more has a factor vector, so that terms which tell
+    nothing alone count as pairs. Positive rows weigh as much as all others
+    together, up to a factor of 4.
     """
     rng = np.random.default_rng(seed)
     size = 1 << bits
-    used = informative(rows, y, size, min_docs, min_chi2)
-    rows = [r[used[r]] for r in rows]
+    often, used = informative(rows, y, size, min_docs, min_chi2)
+    paired = used | (np.bincount(np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64), minlength=size) >= pair_docs)
+    rows = [r[paired[r]] for r in rows]
     w0, w, v = 0.0, np.zeros(size), np.zeros((size, rank))
-    v[used] = rng.normal(0, 0.01, (int(used.sum()), rank))
+    v[paired] = rng.normal(0, 0.01, (int(paired.sum()), rank))
     gw, gv, g0 = np.full(size, 1e-6), np.full((size, rank), 1e-6), 1e-6
     pos = max(1.0, float(y.sum()))
     weight = np.where(y > 0, min(4.0, max(1.0, (len(y) - pos) / pos)), 1.0)
@@ -98,7 +102,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, bits: int, rank: int = 4, epochs:
             if not len(cols):
                 w0 -= rate * float(err.sum()) / (g0 + float(err.sum()) ** 2) ** 0.5
                 continue
-            dw = np.bincount(inv, weights=err[row], minlength=len(cols)) + l2 * w[cols] / len(cols) ** 0.5
+            dw = np.where(used[cols], np.bincount(inv, weights=err[row], minlength=len(cols)) + l2 * w[cols] / len(cols) ** 0.5, 0.0)
             vi = v[idx]
             part = err[row][:, None] * (s[row] - vi)
             dv = np.stack([np.bincount(inv, weights=part[:, f], minlength=len(cols)) for f in range(rank)], axis=1)
@@ -106,7 +110,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, bits: int, rank: int = 4, epochs:
             gw[cols] += dw ** 2
             gv[cols] += dv ** 2
             w[cols] -= rate * dw / np.sqrt(gw[cols])
-            v[cols] -= 0.2 * rate * dv / np.sqrt(gv[cols])
+            v[cols] -= pair_rate * rate * dv / np.sqrt(gv[cols])
             d0 = float(err.sum())
             g0 += d0 ** 2
             w0 -= rate * d0 / g0 ** 0.5
@@ -114,14 +118,19 @@ def fit(rows: list[np.ndarray], y: np.ndarray, bits: int, rank: int = 4, epochs:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFrame:
-    """(text, toxic): labelled rows outside the held-out fold, at most
-    ``max_labelled`` of them, by hash."""
+    """(doc_id, text, th, toxic): labelled rows outside the held-out fold, by hash
+    at most ``max_labelled`` different ones (id, text and label), with their copies."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     lab = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold != 0))
     # the bound holds before the join, so the broadcast side has at most so many short rows
     lab = write_table(lab.select("doc_id", F.col("toxic").cast("double").alias("toxic"))
                       .orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(max_labelled), "tox-labels")
-    return docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id").select("doc_id", "text", "toxic")
+    rows = (docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id")
+            .select("doc_id", "text", F.xxhash64("text").alias("th"), "toxic"))
+    # and again after it, on rows without their texts: an id may stand for many documents
+    chosen = write_table(rows.select("doc_id", "th", "toxic").distinct()
+                         .orderBy(F.xxhash64("doc_id", "th", F.lit(5)), "doc_id", "th", "toxic").limit(max_labelled), "tox-chosen")
+    return rows.join(F.broadcast(chosen), ["doc_id", "th", "toxic"], "left_semi")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, bits: int = 18) -> dict | None:
@@ -130,12 +139,17 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, bits:
     def featurise(batches: Iterator) -> Iterator:
         import pyarrow as pa
         cache: dict = {}
+        seen: set = set()  # at most max_labelled entries
         for b in batches:
+            keys = list(zip(*[b.column(c).to_pylist() for c in ("doc_id", "th", "toxic")], strict=True))
+            first = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+            b = b.take(pa.array(first, pa.int64()))
             cols = [np.sort(terms(t.as_py(), bits, cache)).astype(np.int32) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(cols, pa.list_(pa.int32()))],
-                                             names=["doc_id", "toxic", "cols"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("toxic"), pa.array(cols, pa.list_(pa.int32()))],
+                                             names=["doc_id", "th", "toxic", "cols"])
     feats = write_table(training_sample(docs, labels, max_labelled)
-                        .mapInArrow(featurise, "doc_id long, toxic double, cols array<int>"), "tox-sample")
+                        .mapInArrow(featurise, "doc_id long, th long, toxic double, cols array<int>")
+                        .dropDuplicates(["doc_id", "th", "toxic"]), "tox-sample")
 
     def learn(batches: Iterator) -> Iterator:
         import pickle
@@ -145,11 +159,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, bits:
         for b in batches:
             vals, offs = b.column("cols"), b.column("cols").offsets.to_numpy()
             flat = vals.values.to_numpy()
-            for i, (d, t) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("toxic").to_pylist(), strict=True)):
-                got.append((d, t, flat[offs[i]: offs[i + 1]].astype(np.int64)))
-        got.sort(key=lambda x: (x[0], x[1], len(x[2])))
+            for i, (d, th, t) in enumerate(zip(*[b.column(c).to_pylist() for c in ("doc_id", "th", "toxic")], strict=True)):
+                got.append((d, th, t, flat[offs[i]: offs[i + 1]].astype(np.int64)))
+        got.sort(key=lambda x: x[:3])
         if got:
-            model = fit([g[2] for g in got], np.array([g[1] for g in got]), bits)
+            model = fit([g[3] for g in got], np.array([g[2] for g in got]), bits)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], names=["model"])
     stored = write_table(feats.coalesce(1).mapInArrow(learn, "model binary"), "tox-model")
     row = stored.first()

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -120,6 +121,29 @@ def test_write_shards_in_slot_order(spark, tmp):
     assert back.count() == 200 and back.select("shard").distinct().count() == 5
 
 
+def hot_rows():
+    return [(i, "hot text") for i in range(1500)] + [(i % 40, f"t{i % 90}") for i in range(900)] + [(None, "hot text")] * 3
+
+
+def test_sharding_does_not_depend_on_partitions(spark):
+    df = spark.createDataFrame(hot_rows(), "doc_id long, text string")
+    plans = [sorted(map(str, shards.shard_rows(shards.keyed_rows(df.repartition(n)), n_shards=7).select("doc_id", "size", "text_crc32", "shard", "slot").collect()))
+             for n in (3, 7)]
+    assert plans[0] == plans[1]
+
+
+def test_write_shards_writes_the_plan(spark, tmp):
+    """A hot text is cut over shards on disk as in the plan; clashing names stay."""
+    df = spark.createDataFrame([(*r, f"s{i}", i) for i, r in enumerate(hot_rows())], "doc_id long, text string, shard string, slot int")
+    shards.write_shards(df, f"{tmp}/out", n_shards=6)
+    back = spark.read.parquet(f"{tmp}/out")
+    assert sorted(map(str, back.select(*df.columns).collect())) == sorted(map(str, df.collect()))
+    plan = shards.shard_rows(shards.keyed_rows(df), n_shards=6)
+    count = lambda d, c: sorted(tuple(r) for r in d.groupBy(c).count().collect())
+    assert count(back, "__shard") == count(plan, "shard") and len(count(back, "__shard")) == 6
+    assert back.select("__shard", "__slot").distinct().count() == len(hot_rows())
+
+
 # mixing
 
 def test_mixing_meets_targets(spark, tmp, edge_docs, edge_rows):
@@ -291,6 +315,43 @@ def test_machine_learns_pairs_that_weights_miss():
     assert np.mean((raw > 0) == (np.array(y[2000:]) > 0.5)) > 0.97
 
 
+def test_machine_learns_labels_of_pairs_alone():
+    """Toxic if both terms or none occur: no single term tells the labels apart."""
+    rng = random.Random(4)
+    rows, y = [], []
+    for _ in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append(toxicity.terms(" ".join([f"n{rng.randrange(300)}" for _ in range(20)] + ["insult"] * a + ["group"] * b), 14, {}))
+        y.append(float(a == b))
+    m = toxicity.fit(rows[:2500], np.array(y[:2500]), 14)
+    ptr = np.concatenate([[0], np.cumsum([len(r) for r in rows[2500:]])])
+    raw, _, _ = toxicity._score(m["w0"], m["w"], m["v"], np.concatenate(rows[2500:]), ptr)
+    assert np.mean((raw > 0) == (np.array(y[2500:]) > 0.5)) > 0.95
+
+
+def test_toxicity_sample_is_bounded_after_the_join(spark):
+    docs = spark.createDataFrame([(7, f"text {i % 900}") for i in range(3000)] + [(i, f"other {i}") for i in range(100, 300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1)] + [(i, i % 2) for i in range(100, 300)], "doc_id long, toxic int")
+    sample = toxicity.training_sample(docs, labels, 100)
+    assert sample.select("doc_id", "th", "toxic").distinct().count() <= 100
+    assert toxicity.train(docs, labels, 100) is not None
+
+
+def test_toxicity_scores_equal_a_plain_scorer(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    v = model["v"].astype(float)
+    for r in toxicity.score_texts(docs, model).limit(60).collect():
+        cols = set()
+        for w in re.findall(rb"[0-9a-z\x80-\xff]+", (r.text or "").encode().lower()):
+            cols |= {zlib.crc32(x) % (1 << 18) for x in [b"w" + w, *[b"p" + w[:n] for n in (4, 6, 7) if len(w) > n]]}
+        cols = sorted(cols)
+        pairs = sum(float(v[i] @ v[j]) for k, i in enumerate(cols) for j in cols[:k] if v[i].any() and v[j].any()) if len(cols) < 400 else None
+        if pairs is not None:
+            raw = model["w0"] + sum(float(model["w"][i]) for i in cols) + pairs
+            assert abs(1 / (1 + math.exp(-raw)) - r["__score"]) < 1e-4
+
+
 def test_toxicity_odd_rows(spark, tmp, edge_docs, no_docs):
     write(edge_docs, tmp, "documents")
     lab = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")

@@ -2,11 +2,14 @@
 
 Vectors are dealt to shards by hash; each shard builds a ball tree (leaves of
 contiguous rows, a centre and a radius per leaf and per inner node). Queries
-are a stated set and go to every shard in blocks. Nodes are visited in the
+are a stated set and go to the shards in blocks. Nodes are visited in the
 order of their upper bound, centre . query + radius * |query|. First each
-shard looks only at the best leaves of a block; the largest of the shards'
-k-th scores is a lower bound of the final one and is shared with all shards,
-which then prune every node below it. Scores are exact integers.
+block looks at the best leaves of the shards with the largest root bounds; the
+largest of the k-th scores found there is a lower bound of the final one and
+is shared. A plan then lists the (shard, block) pairs whose root bound reaches
+it for some query, computed from the roots alone; only these blocks are sent
+to their shards' trees, which prune every node below the shared score. Scores
+are exact integers.
 
 Defined cases: vectors that are null or hold null or non-finite components
 take no part; vectors of different lengths are never compared; rows are told
@@ -64,7 +67,7 @@ def ball_tree(x: np.ndarray, leaf: int) -> tuple[np.ndarray, list]:
 
 
 def build_index(vecs: DataFrame, shard_rows: int, leaf: int) -> DataFrame:
-    """(dim, shard, tree): one pickled ball tree per shard of about ``shard_rows`` rows."""
+    """(dim, shard, tree, centre, radius): one pickled ball tree per shard of about ``shard_rows`` rows."""
     n = max(1, -(-vecs.count() // shard_rows))
 
     def build(key, pdf):
@@ -78,11 +81,12 @@ def build_index(vecs: DataFrame, shard_rows: int, leaf: int) -> DataFrame:
                 "lo": np.array([m[0] for m in nodes]), "hi": np.array([m[1] for m in nodes]),
                 "c": np.array([m[2] for m in nodes]), "r": np.array([m[3] for m in nodes]),
                 "kids": np.array([m[4:6] for m in nodes])}
-        return pd.DataFrame({"dim": [int(key[0])], "shard": [int(key[1])], "tree": [pickle.dumps(tree, protocol=5)]})
+        return pd.DataFrame({"dim": [int(key[0])], "shard": [int(key[1])], "tree": [pickle.dumps(tree, protocol=5)],
+                             "centre": [tree["c"][0].tobytes()], "radius": [float(tree["r"][0])]})
     # vec_id as text keeps null ids exact through pandas
     return write_table(vecs.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(n)).cast("int"))
                        .withColumn("vec_id", F.col("vec_id").cast("string")).groupBy("dim", "shard")
-                       .applyInPandas(build, "dim int, shard int, tree binary"), "tk-trees")
+                       .applyInPandas(build, "dim int, shard int, tree binary, centre binary, radius double"), "tk-trees")
 
 
 def query_blocks(queries: DataFrame, block: int) -> DataFrame:
@@ -156,48 +160,99 @@ class Search:
                 heapq.heappush(heap, (-float(bc.max()), int(c), rows, bc))
 
 
-def _pairs(trees: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Each block of queries with each shard of its dimension: one row per task unit."""
-    return trees.join(blocks, "dim").repartition(F.col("dim"), F.col("shard"), F.col("b"))
+ROOTS = 1024  # shards whose roots are held together
+TOGETHER = 64  # blocks that are sent to one copy of a tree
+
+
+def live_pairs(trees: DataFrame, blocks: DataFrame, best: int | None) -> DataFrame:
+    """(dim, b, shard), stored: per block of queries the ``best`` shards by root
+    bound, or (None) all shards whose bound reaches ``taus`` for some query.
+
+    Roots are kept in groups; copies of a group are dealt out by a salt, so
+    that no key holds all blocks."""
+    spark, n = blocks.sparkSession, blocks.count()
+    salts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // TOGETHER))
+    roots = (trees.select("dim", F.floor(F.col("shard") / ROOTS).cast("int").alias("chunk"), F.struct("shard", "centre", "radius").alias("r"))
+             .groupBy("dim", "chunk").agg(F.collect_list("r").alias("roots")))
+    chunks = trees.groupBy("dim").agg(F.max(F.floor(F.col("shard") / ROOTS)).cast("int").alias("last"))
+    left = (blocks.join(chunks, "dim").withColumn("chunk", F.explode(F.sequence(F.lit(0), "last"))).drop("last")
+            .withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int")))
+    right = roots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+    def bounds(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for row in batch.to_pylist():
+                q = np.array([x["v"] for x in row["qs"]], np.float64).reshape(len(row["qs"]), row["dim"])
+                c = np.array([np.frombuffer(r["centre"]) for r in row["roots"]]).reshape(len(row["roots"]), row["dim"])
+                norm = np.sqrt((q ** 2).sum(axis=1))
+                u = q @ c.T + norm[:, None] * np.array([r["radius"] for r in row["roots"]])[None, :]
+                u = u + np.abs(u) * 1e-9 + norm[:, None] * 1e-6 + 1e-6  # above any rounding
+                if best is None:
+                    tau = {x["rid"]: x["tau"] for x in row["taus"] or []}
+                    least = np.array([tau.get(x["rid"], -np.inf) for x in row["qs"]], np.float64)
+                    keep = np.flatnonzero((u >= (least - np.abs(least) * 1e-9)[:, None]).any(axis=0))
+                else:
+                    keep = np.argsort(-u.max(axis=0, initial=-np.inf), kind="stable")[:best]
+                k = len(keep)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(k, row["dim"], np.int32)), pa.array(np.full(k, row["b"], np.int32)),
+                     pa.array([row["roots"][i]["shard"] for i in keep], pa.int32()), pa.array(u.max(axis=0, initial=-np.inf)[keep])],
+                    names=["dim", "b", "shard", "top"])
+    found = left.join(right.hint("merge"), ["dim", "chunk", "salt"]).mapInArrow(bounds, "dim int, b int, shard int, top double")
+    if best is not None:
+        w = Window.partitionBy("dim", "b").orderBy(F.desc("top"), "shard")  # at most ``best`` rows per group of roots
+        found = found.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= best)
+    return write_table(found.select("dim", "b", "shard"), "tk-plan")
+
+
+def visits(plan: DataFrame, trees: DataFrame, blocks: DataFrame, task, schema: str) -> DataFrame:
+    """``task(tree, blocks)`` of each shard and up to ``TOGETHER`` of its planned blocks."""
+    sub = F.floor(F.col("b") / TOGETHER).cast("int").alias("sub")
+    needed = plan.select(F.col("dim").alias("dim"), F.col("shard").alias("shard"), sub).distinct()
+    copies = needed.join(trees.select("dim", "shard", "tree").hint("merge"), ["dim", "shard"])
+    sent = plan.select("*", sub).join(blocks.hint("merge"), ["dim", "b"])
+    keys = ["dim", "shard", "sub"]
+    return copies.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(task, schema)
 
 
 def top_k(rows: DataFrame, queries: DataFrame | None = None, k: int = 20, scale: float = 64.0, every: int = 20,
-          shard_rows: int = 16_384, leaf: int = 512, block: int = 512, probe: int = 2) -> DataFrame:
+          shard_rows: int = 16_384, leaf: int = 512, block: int = 512, probe: int = 2, probe_shards: int = 4) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows whose id is divisible by ``every``."""
     vecs = integer_vectors(rows, scale)
     q = vecs.filter(F.col("vec_id") % every == 0)
     trees, blocks = build_index(vecs, shard_rows, leaf), query_blocks(q, block)
 
-    def search(batches: Iterator, final: bool) -> Iterator:
-        import pyarrow as pa
-        for batch in batches:
-            for row in batch.to_pylist():
+    def search(final: bool):
+        def task(copies, sent):
+            import pandas as pd
+            out = []
+            tree = pickle.loads(copies["tree"].iloc[0]) if len(copies) else None
+            for row in sent.to_dict("records") if tree is not None else []:
                 rid = np.array([x["rid"] for x in row["qs"]], np.int64)
                 vec = np.array([x["v"] for x in row["qs"]], np.int64).reshape(len(rid), row["dim"])
                 tau = np.full(len(rid), np.iinfo(np.int64).min)
                 if final:
-                    shared = {x["rid"]: x["tau"] for x in row["taus"] or []}
+                    shared = {x["rid"]: x["tau"] for x in row["taus"]}
                     tau = np.array([shared.get(i, t) for i, t in zip(rid, tau, strict=True)], np.int64)
-                s = Search(pickle.loads(row["tree"]), vec, rid, k, tau)
+                s = Search(tree, vec, rid, k, tau)
                 s.run(None if final else probe)
                 if not final:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rid), row["dim"], np.int32)),
-                                                      pa.array(np.full(len(rid), row["b"], np.int32)),
-                                                      pa.array(rid), pa.array(s.tau)], names=["dim", "b", "rid", "tau"])
+                    out.append(pd.DataFrame({"dim": row["dim"], "b": row["b"], "rid": rid, "tau": s.tau}))
                     continue
                 score, ids, ok = s.best
                 keep = ok & (score >= s.tau[:, None])
                 qi, _ = np.nonzero(keep)
-                ids = ids[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid[qi]), pa.array(ids, pa.int64(), mask=ids == NO_ID), pa.array(score[keep])],
-                    names=["rid", "vec_id", "score"])
-    pairs = _pairs(trees, blocks)
-    first = pairs.mapInArrow(lambda it: search(it, False), "dim int, b int, rid long, tau long")
+                ids = pd.Series(ids[keep]).astype("Int64")
+                out.append(pd.DataFrame({"rid": rid[qi], "vec_id": ids.mask(ids == NO_ID), "score": score[keep]}))
+            names = ["rid", "vec_id", "score"] if final else ["dim", "b", "rid", "tau"]
+            return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="Int64") for c in names})
+        return task
+    first = visits(live_pairs(trees, blocks, probe_shards), trees, blocks, search(False), "dim int, b int, rid long, tau long")
     shared = write_table(first.groupBy("dim", "b", "rid").agg(F.max("tau").alias("tau"))
                          .groupBy("dim", "b").agg(F.collect_list(F.struct("rid", "tau")).alias("taus")), "tk-shared")
-    found = (_pairs(trees, blocks.join(shared, ["dim", "b"]))
-             .mapInArrow(lambda it: search(it, True), "rid long, vec_id long, score long"))
+    told = write_table(blocks.join(shared, ["dim", "b"]), "tk-told")
+    found = visits(live_pairs(trees, told, None), trees, told, search(True), "rid long, vec_id long, score long")
     w = Window.partitionBy("rid").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     best = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     ids = q.select("rid", F.col("vec_id").alias("query_id"))

@@ -12,6 +12,7 @@ from . import brute
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from .conftest import SF
 
 from doclake.llm import mixing, packing, shards, topk, toxicity, warc
@@ -230,6 +231,28 @@ def test_topk_many_shards_prune_and_agree(spark):
     assert whole == cut and len(whole) == 30 * 5
 
 
+def test_topk_plan_prunes_shards_and_spreads_blocks(spark):
+    """Shards far from a block are left out before any tree is sent, and no
+    join key holds all blocks."""
+    rng = np.random.default_rng(6)
+    far = np.eye(8) * 40
+    vecs = topk.integer_vectors(spark.createDataFrame([(i, [float(x) for x in far[i // 200] + rng.normal(0, 0.1, 8)]) for i in range(1600)],
+                                                      "vec_id long, embedding array<float>"), 64.0)
+    trees = topk.build_index(vecs.withColumn("rid", F.floor(F.col("vec_id") / 200)), 1 << 20, 64)  # one tree of all: no pruning
+    assert trees.count() == 1
+    trees = topk.build_index(vecs, 40, 16)
+    blocks = topk.query_blocks(vecs.filter("vec_id % 20 = 0"), 4)
+    best = topk.live_pairs(trees, blocks, 3)
+    assert best.groupBy("dim", "b").count().filter("count <> 3").isEmpty() and best.count() == 3 * blocks.count()
+    none = blocks.withColumn("taus", F.transform("qs", lambda x: F.struct(x["rid"], F.lit(1 << 60).alias("tau"))))
+    assert topk.live_pairs(trees, none, None).isEmpty()
+    every = blocks.withColumn("taus", F.transform("qs", lambda x: F.struct(x["rid"], F.lit(-(1 << 60)).alias("tau"))))
+    assert topk.live_pairs(trees, every, None).count() == trees.count() * blocks.count()
+    plan = topk.visits(best, trees, blocks, lambda a, b: b[["b"]], "b int")._jdf.queryExecution().executedPlan().toString()
+    keys = set(re.findall(r"hashpartitioning\(([^)]*)\)", plan))
+    assert keys and all(k.count("#") >= 2 for k in keys), keys
+
+
 def test_topk_empty_and_few(spark):
     assert topk.top_k(spark.createDataFrame([], VECTORS)).count() == 0
     one = spark.createDataFrame([(20, [1.0]), (21, [2.0])], "vec_id long, embedding array<float>")

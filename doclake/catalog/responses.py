@@ -18,6 +18,7 @@ from doclake.session import scratch_path
 from doclake.sinks.files import insert_if_absent, land_raw
 from doclake.sinks.keyed import KeyedTable
 from doclake.sources.tables import Tables
+from doclake.streaming.page_state import runs_from_blocks, stored_blocks, update_page_state
 
 
 def captured_responses(spark, root):
@@ -62,7 +63,7 @@ def fetched_pages(spark, root):
                                                        .alias("state"))))
 
 
-@register("page_runs", """
+PAGE_RUNS_SQL = """
 WITH c AS (SELECT l_orderkey AS wine_id, l_linenumber AS page_no,
              CASE WHEN (l_orderkey + 3 * l_linenumber) % 11 = 0 THEN 2
                   WHEN (l_orderkey + l_linenumber) % 5 = 0 THEN 1 ELSE 0 END AS w
@@ -83,14 +84,32 @@ SELECT s.wine_id,
        coalesce(f.bp = s.start_page + f.ib - 1 AND f.bs = 'empty', false) AS finished,
        CAST(coalesce(f.ib - 1, f.n, 0) + s.start_page - 1 AS INTEGER) AS n_pages
 FROM s LEFT JOIN f ON s.wine_id = f.wine_id
-""")
-def q_page_runs(spark, root):
-    pages = fetched_pages(spark, root)
+"""
+
+
+def page_starts(pages):
     starts = (pages.select("wine_id").distinct()
               .withColumn("start_page", F.when(F.col("wine_id") % 3 == 0, 2).otherwise(1)))
     # wines divisible by 4 are planned twice, the second time two pages later
     again = starts.filter(F.col("wine_id") % 4 == 0).withColumn("start_page", F.col("start_page") + 2)
-    return R.page_runs(pages, starts.unionByName(again))
+    return starts.unionByName(again)
+
+
+@register("page_runs", PAGE_RUNS_SQL)
+def q_page_runs(spark, root):
+    pages = fetched_pages(spark, root)
+    return R.page_runs(pages, page_starts(pages))
+
+
+@register("page_runs_state", PAGE_RUNS_SQL)
+def q_page_runs_state(spark, root):
+    """The same runs from state that three landings of captures update."""
+    pages = fetched_pages(spark, root).select("wine_id", F.col("page_no").cast("int").alias("page_no"), "state")
+    folder, sink, checkpoint = (scratch_path(spark, n) for n in ("captures", "page-state", "page-state-ckpt"))
+    for i in (2, 0, 1):
+        pages.filter(F.pmod(F.xxhash64("wine_id", "page_no", "state"), F.lit(3)) == i).write.mode("append").parquet(folder)
+        update_page_state(spark, folder, sink, checkpoint)
+    return runs_from_blocks(stored_blocks(spark, sink), page_starts(pages))
 
 
 LAND_SQL = QUARANTINE_SQL.split("SELECT CASE l_orderkey")[0].replace(

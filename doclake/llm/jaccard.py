@@ -172,15 +172,30 @@ def regions(rows: DataFrame, partitions: int) -> DataFrame:
                        "jx-regions")
 
 
-def memberships(reg: DataFrame) -> DataFrame:
-    """(s, c, n, w): all members of all regions, stored. w, the summed sizes
-    of a class's regions, is largest for the class in the middle of a group of
-    near copies: its window holds what most of the others share."""
-    rows = reg.select("s", "c", "n").union(reg.select("s", F.col("p"), F.col("pn")).distinct())
-    rows = write_table(rows, "jx-rows-shared")
-    size = write_table(rows.groupBy("s").agg(F.count(F.lit(1)).alias("k")), "jx-sizes")
-    weight = write_table(rows.join(size, "s").groupBy("c").agg(F.sum("k").alias("w")), "jx-weights")
-    return write_table(rows.join(weight, "c").select("s", "c", "n", "w"), "jx-memberships")
+def shared_rows(reg: DataFrame) -> DataFrame:
+    """(s, c, n): all members of all regions with two classes or more, stored."""
+    return write_table(reg.select("s", "c", "n").union(reg.select("s", F.col("p"), F.col("pn")).distinct()), "jx-rows-shared")
+
+
+def one_region_per_set(rows: DataFrame) -> DataFrame:
+    """``rows`` (s, c, ...) of one region for each set of members, with k, the
+    set's size, and times, the number of regions that had it. Near copies of
+    long texts share thousands of shingles and so thousands of regions with
+    the same members; all would give the same pairs. Regions of one member go."""
+    sets = rows.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("c")).alias("h"),
+                                 F.bit_xor(F.xxhash64("c", F.lit(1))).alias("g"))
+    one = write_table(sets.filter("k > 1").groupBy("k", "h", "g").agg(F.min("s").alias("s"), F.count(F.lit(1)).alias("times"))
+                      .select("s", "k", "times"), "jx-sets-once")
+    return rows.join(one, "s")
+
+
+def memberships(rows: DataFrame) -> DataFrame:
+    """(s, c, n, w): members of the regions that differ, stored. w, the summed
+    sizes of a class's regions, is largest for the class in the middle of a
+    group of near copies: its window holds what most of the others share."""
+    once = write_table(one_region_per_set(rows), "jx-rows-once")
+    weight = write_table(once.groupBy("c").agg(F.sum(F.col("k") * F.col("times")).alias("w")), "jx-weights")
+    return write_table(once.join(weight, "c").select("s", "c", "n", "w"), "jx-memberships")
 
 
 def signatures(member: DataFrame) -> DataFrame:
@@ -293,13 +308,14 @@ def _unknown(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.join(known.select(F.greatest("c", "p").alias("c"), F.least("c", "p").alias("p")), ["c", "p"], "left_anti")
 
 
-def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int, percent: int, levels: int = 3) -> DataFrame:
+def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int, percent: int, levels: int = 2) -> DataFrame:
     """Links (c, p) between classes that connect every component."""
     total = rows.agg(F.sum("n")).first()[0] or 0
     conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seeds = seed_rows(docs, sketch, width, percent, hot=max(4096, 4 * (total >> SKETCH_BITS)))
-    member = memberships(regions(seeds, max(conf, total // 2_000_000)))
-    sig, reps = signatures(member), representatives(rows.filter("n > 0"))
+    shared = shared_rows(regions(seeds, max(conf, total // 2_000_000)))
+    member = memberships(shared)
+    sig, reps = signatures(shared), representatives(rows.filter("n > 0"))
     nobody = member.limit(0)
     known = nobody.select("c", F.col("c").alias("p"), F.lit(0.0).alias("d"), F.lit(False).alias("linked"))
     label = nobody.select(F.col("c").alias("node"), F.col("c").alias("root"))
@@ -340,8 +356,16 @@ def residual_regions(near: DataFrame, exact: DataFrame, percent: int) -> DataFra
     second case cannot occur: a >= t of the pair implies a >= t with a
     smaller p, a link.
     """
-    both = near.join(exact, ["c", "p"])
-    outside = both.select(F.explode("us").alias("s"), "c", "n", "w").distinct().withColumn("low", F.lit(False))
+    both = near.join(exact.drop("us"), ["c", "p"])
+    # members that link to the pivot are one component: their rows matter only
+    # where they meet one that does not link to this pivot
+    rows = write_table(near.groupBy("c", "p").agg(F.first("n").alias("n"), F.first("w").alias("w")), "jx-near-once")
+    rows = rows.join(exact.select("c", "p", "linked", "us"), ["c", "p"])
+    apart = write_table(rows.filter("not linked").select(F.explode("us").alias("s"), "p", "c", "n", "w"), "jx-apart")
+    open_ = apart.select("p").distinct()
+    meet = (rows.filter("linked").join(open_, "p", "left_semi").select(F.explode("us").alias("s"), "p", "c", "n", "w")
+            .join(apart.select("s", "p").distinct(), ["s", "p"], "left_semi"))
+    outside = apart.unionByName(meet).select("s", "c", "n", "w").distinct().withColumn("low", F.lit(False))
     # the largest partner whose needed overlap with x the pivot may hold
     most = F.floor(F.col("a") * (100 + percent) / F.lit(percent)) - F.col("n")
     least = F.greatest("lo", F.ceil(F.col("n") * percent / F.lit(100)))
@@ -349,7 +373,9 @@ def residual_regions(near: DataFrame, exact: DataFrame, percent: int) -> DataFra
     cap = inside.filter("not linked").groupBy("s").agg(F.max("most").alias("cap"))
     again = (inside.join(cap, "s").filter((F.col("n") <= F.col("cap")) | ~F.col("linked"))
              .select(F.xxhash64("s", F.lit(1)).alias("s"), "c", "n", "w").withColumn("low", F.lit(True)))
-    return write_table(outside.unionByName(again), "jx-members")
+    stored = write_table(outside.unionByName(again), "jx-members")
+    once = one_region_per_set(stored).drop("k", "times")
+    return write_table(once, "jx-members-once")
 
 
 def exhaust(members: DataFrame, label: DataFrame, known: DataFrame, sig: DataFrame, docs: DataFrame, reps: DataFrame,

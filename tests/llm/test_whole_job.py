@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+
 from . import brute
 
 from doclake.llm import jaccard, passages
+from doclake.llm.shingles import WordHashes, shingle_sequences
 
 
 def words(rng, n, size=100_000):
@@ -138,3 +141,43 @@ def test_groups_of_sizes_that_a_large_pivot_holds(spark):
     got = sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in
                            jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
     assert got == sorted(map(str, brute.jaccard_components(rows)))
+
+
+def test_periodic_stretches_hide_no_passage(spark):
+    """A near copy beside rules of dashes, however long."""
+    rng = random.Random(18)
+    rows = []
+    for i, n in enumerate((0, 500, 1500, 4000)):
+        body = words(rng, 95)
+        copy = list(body)
+        copy[47] = "other"
+        rule = ["-"] * n
+        rows += [(2 * i, " ".join(words(rng, 30) + rule + body + words(rng, 30) + rule)), (2 * i + 1, " ".join(words(rng, 50) + rule + copy + words(rng, 20)))]
+    for a, b in zip(rows[::2], rows[1::2], strict=True):
+        x, y = (shingle_sequences([t], WordHashes())[0] for _, t in (a, b))
+        at = max(len(r[1].split()) for r in (a, b))
+        got = passages.common_passages(x, y, 46, 80)
+        text, other = a[1].split(), b[1].split()
+        want, want2 = text.index(next(w for w in text[30:] if w != "-")), other.index(next(w for w in other[50:] if w != "-"))
+        # one found passage holds the near copy whole on both sides
+        assert any(s <= want and e + 4 >= want + 95 and s2 <= want2 and e2 + 4 >= want2 + 95 for s, e, s2, e2 in got), (at, got[:5])
+
+
+def test_chains_see_all_runs_that_can_be_joined():
+    rng = np.random.default_rng(19)
+    for _ in range(30):
+        s, d = rng.integers(0, 400, 60), rng.integers(-30, 30, 60)
+        n = rng.integers(1, 40, 60)
+        runs = np.stack([s + 50, s + n + 50, s + d + 50, s + d + n + 50, n], axis=1)
+        runs = runs[np.lexsort((runs[:, 2], runs[:, 0]))]
+        got = {(q, r) for a, b, _, _ in passages.next_pairs(runs, 80, 64) for q, r in zip(a.tolist(), b.tolist(), strict=True)}
+        want = set()
+        for q in range(60):
+            for r in range(q + 1, 60):
+                x, y = runs[q].tolist(), runs[r].tolist()
+                over = max(0, -min(y[0] - x[1], y[2] - x[3]))
+                m = x[4] + y[4] - over
+                if (x[2] <= y[2] and x[1] <= y[1] and x[3] <= y[3] and over < min(x[4], y[4])
+                        and 180 * m >= 80 * (y[1] - x[0] + y[3] - x[2])):
+                    want.add((q, r))
+        assert got == want

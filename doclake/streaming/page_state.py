@@ -46,10 +46,11 @@ class BestCaptures(StatefulProcessor):
         pass
 
 
-def update_page_state(spark: SparkSession, captures: str, sink: str, checkpoint: str) -> None:
+def update_page_state(spark: SparkSession, captures: str, sink: str, checkpoint: str, partitions: int | None = None) -> None:
     """Take the capture files (Parquet, :data:`CAPTURES`) that arrived in the
     folder since the last run and append the blocks they changed to ``sink``.
-    A batch that is run again replaces its own folder."""
+    A batch that is run again replaces its own folder. ``partitions``, the
+    number of state stores, is fixed by the first run (default: the cores)."""
     rows = spark.readStream.schema(CAPTURES).option("maxFileAge", "36500d").parquet(captures)
     page = F.col("page_no")
     worth = F.when(F.col("state") == "ok", 0).when(F.col("state") == "empty", 1).otherwise(2).cast("byte")
@@ -60,18 +61,18 @@ def update_page_state(spark: SparkSession, captures: str, sink: str, checkpoint:
 
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={number:08d}")
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB)  # read when the stream starts
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+                "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism)}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():  # read when the stream starts
+        spark.conf.set(k, v)
     try:
         q = (changed.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stored_blocks(spark: SparkSession, sink: str) -> DataFrame:

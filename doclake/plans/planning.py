@@ -42,8 +42,8 @@ def page_names(file_names: DataFrame, name_col: str = "file_name") -> DataFrame:
                     F.substring_index(F.get(parts, 4), ".", 1).try_cast("int").alias("page"))
     # the values are materialised (one-element explode) before the range
     # filter, which cannot then be pushed below and recompute them
-    return (file_names.filter(n.rlike(REVIEWS_FILE_RE))
-            .select(F.explode(F.array(vals)).alias("r"))
+    return (file_names.filter(n.rlike(REVIEWS_FILE_RE)).select(vals.alias("v"))
+            .select(F.explode(F.array("v")).alias("r"))
             .filter(F.col("r.wine_id").isNotNull() & F.col("r.page").isNotNull())
             .select("r.wine_id", "r.page"))
 

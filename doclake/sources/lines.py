@@ -8,9 +8,10 @@ good rows, and ``*_rejects`` functions return the others with a reason.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from doclake.functions.values import typed
 from doclake.session import scratch_path
 
 # Message formats of the run logs (fixed values).
@@ -70,8 +71,18 @@ WORK_IDS_BAD_RE = r",,|[+-][^0-9]|[0-9][+-]|[+-]$"
 def materialized(df: DataFrame, *cols) -> DataFrame:
     """Project ``cols`` through a one-element explode. A filter placed on the
     result cannot be pushed below the generator, so the projected
-    expressions are computed once instead of once more inside the filter."""
-    return df.select(F.explode(F.array(F.struct(*cols))).alias("_m")).select("_m.*")
+    expressions are computed once instead of once more inside the filter.
+    They are computed in a projection of their own: within the generator each
+    row would prepare its regexes anew."""
+    named = df.select(*cols)
+    return named.select(F.explode(F.array(F.struct(*named.columns))).alias("_m")).select("_m.*")
+
+
+def id_of(digits: Column) -> Column:
+    """Digits as int; NULL for an empty text or a number beyond 32 bits. By way
+    of long, so that ids out of range do not raise and catch errors."""
+    n = F.when(digits != "", digits).try_cast("bigint")
+    return F.when(n.between(-2**31, 2**31 - 1), n).cast("int")
 
 
 def _work_list_ids(lines: DataFrame) -> DataFrame:
@@ -79,13 +90,14 @@ def _work_list_ids(lines: DataFrame) -> DataFrame:
     then the split and the int conversion; out-of-range numbers give NULL
     elements."""
     v = F.col("value")
-    parts = F.split(v, "=", 2)
-    ids_text = F.regexp_replace(F.get(parts, 1), ",+$", "")
-    shape = v.rlike(WORK_ID_RE) & ids_text.rlike(WORK_IDS_RE) & ~ids_text.rlike(WORK_IDS_BAD_RE)
-    ids = F.split(ids_text, ",", -1)
-    return materialized(lines, F.col("value"), F.coalesce(shape, F.lit(False)).alias("_shape"),
-                        F.get(parts, 0).try_cast("int").alias("wine_id"),
-                        ids.try_cast("array<int>").alias("vintage_ids"))
+    at = F.instr(v, F.lit("="))
+    cut = materialized(lines, v, F.substring_index(v, "=", 1).alias("_id"),
+                       F.when(at > 0, F.rtrim(F.substr(v, at + 1), F.lit(","))).alias("_ids"))
+    text = F.col("_ids")
+    shape = F.coalesce(v.rlike(WORK_ID_RE) & text.rlike(WORK_IDS_RE) & ~text.rlike(WORK_IDS_BAD_RE), F.lit(False))
+    return materialized(cut, v, "_id", "_ids", shape.alias("_shape")).select(
+        "value", "_shape", typed("_id", "int").alias("wine_id"),
+        F.when(F.col("_shape"), F.split("_ids", ",", -1).try_cast("array<int>")).alias("vintage_ids"))
 
 
 def parse_work_list(lines: DataFrame) -> DataFrame:
@@ -130,8 +142,8 @@ def parse_success_log(lines: DataFrame) -> DataFrame:
     other messages are skipped; ids beyond 32 bits are skipped."""
     v = F.col("value")
     # an empty capture means no match: no separate rlike pass
-    wid = F.regexp_extract(v, SUCCESS_RE, 1).try_cast("int")
-    pages = F.regexp_extract(v, SUCCESS_RE, 2).try_cast("int")
+    wid = id_of(F.regexp_extract(v, SUCCESS_RE, 1))
+    pages = id_of(F.regexp_extract(v, SUCCESS_RE, 2))
     return (materialized(lines, wid.alias("wine_id"), pages.alias("n_pages"))
             .filter(F.col("wine_id").isNotNull() & F.col("n_pages").isNotNull()))
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
+from doclake.functions.values import typed
 from doclake.session import scratch_path
 from doclake.sinks.tsv import TSV_OPTIONS
 
@@ -84,4 +85,4 @@ def read_quoted_tsv(spark: SparkSession, path: str, ddl: str, header: bool = Tru
               .select(F.from_csv("record", raw.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("r")))
     return parsed.select(*[
         (F.col(f"r.`{f.name}`") if isinstance(f.dataType, StringType)
-         else F.col(f"r.`{f.name}`").try_cast(f.dataType)).alias(f.name) for f in target.fields])
+         else typed(F.col(f"r.`{f.name}`"), f.dataType)).alias(f.name) for f in target.fields])

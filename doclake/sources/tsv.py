@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
+from doclake.functions.values import typed
 from doclake.sinks.tsv import TSV_OPTIONS
 
 
@@ -29,7 +30,7 @@ def read_tsv(spark: SparkSession, path: str, ddl: str, header: bool = True,
            .schema(raw_schema).csv(path))
     return raw.select(*[
         (F.col(f"`{f.name}`") if isinstance(f.dataType, StringType)
-         else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
+         else typed(F.col(f"`{f.name}`"), f.dataType)).alias(f.name)
         for f in target.fields])
 
 

@@ -61,3 +61,30 @@ def test_second_fetches_do_not_render_twice(spark, root):
     with redirect_stdout(text):
         D.q_duplicate_vintage_keys(spark, root).explain()
     assert "Union" not in text.getvalue()
+
+
+@pytest.mark.parametrize("make", [review_docs, wines_docs])
+def test_large_facts_are_dealt_by_their_rows(spark, root, make):
+    def found(df):
+        return sorted((r["file_name"], "".join(sorted(r["body"]))) for r in df.collect())
+    fact = spark.read.parquet(f"{root}/lineitem.parquet").count()
+    docs = make(spark, root, page_rows=5, task_rows=2)
+    # sorts and groups hold few rows, whatever the number of shuffle partitions
+    assert docs.rdd.getNumPartitions() == -(-fact // 2) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found(docs) == found(make(spark, root, page_rows=5)) == found(make(spark, root, page_rows=5, task_rows=2, heavy_rows=4))
+
+
+@pytest.mark.parametrize("make", [review_docs, wines_docs])
+def test_customers_and_wineries_do_not_move_the_fact(spark, root, make):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = io.StringIO()
+        with redirect_stdout(text):
+            make(spark, root, task_rows=2).explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # below the grouping: nation and region (fixed and tiny), the rows dealt by their key, once each side
+    moved = [x for x in text.getvalue().splitlines() if "Exchange hashpartitioning(" in x]
+    assert len([x for x in moved if "_deal#" in x and "REPARTITION_BY_NUM" in x]) == 2
+    assert not [x for x in moved if "kind#" in x or "page#" in x]

@@ -194,3 +194,14 @@ def test_prices_empty_forms_kept_missing_dropped(spark):
     assert FL.flatten_prices(docs).count() == 0
     s = rows(FL.prices_doc_stats(docs))[0]
     assert s == {"n_docs": 6, "n_dropped": 3, "n_zero_row_docs": 3, "n_rows": 0}
+
+
+def test_documents_are_not_parsed_again_for_a_filter(spark):
+    import io
+    from contextlib import redirect_stdout
+    docs = docs_df(spark, [("wines-1-0-1-.json", "{}")]).repartition(2)
+    for flatten in (FL.flatten_reviews, FL.flatten_vintages, FL.flatten_prices, FL.winery_info, FL.worklist_lines):
+        text = io.StringIO()
+        with redirect_stdout(text):
+            flatten(docs).explain()
+        assert not [x for x in text.getvalue().splitlines() if "Filter" in x and "from_json" in x], flatten.__name__

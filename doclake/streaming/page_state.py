@@ -1,12 +1,14 @@
 """Page runs kept as state over captures that arrive in landings.
 
-The state is keyed by (wine, block of 512 page numbers) and holds one byte per
-page: its best capture so far (ok, empty, failed or none). A landing updates
-the blocks that it touches, late and repeated captures included, and emits
-their new bytes; the sink keeps what every landing emitted, and a block's last
-row stands. The run of a wine then comes from its blocks, one row per 512
-pages, instead of from all captures ever made; a wine with very many pages is
-many keys.
+The state holds, per (wine, block of 512 page numbers), one byte per page up to
+the block's last captured one: its best capture so far (ok, empty, failed or
+none). Blocks are dealt by their hash into a fixed number of state keys, so a
+landing costs a few calls per key, not per block; a wine with very many pages
+is many blocks, spread over all keys. A landing updates the blocks that it
+touches, late and repeated captures included, and emits their new bytes; the
+sink keeps what every landing emitted, and a block's last row stands. The run
+of a wine then comes from its blocks, one row per 512 pages, instead of from
+all captures ever made.
 """
 
 from __future__ import annotations
@@ -24,23 +26,71 @@ BLOCKS = "wine_id long, block int, pages binary"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+SLOTS = 4096  # state keys; fixed, as every checkpoint depends on it
+EMIT = 10_000  # blocks a task holds as rows before it passes them on
+
+
+def _stored(wine, block, n, data) -> bytes:
+    """Blocks as one value: how many, their wines, numbers, lengths and pages."""
+    import numpy as np
+    return b"".join((np.int64(len(wine)).tobytes(), wine.tobytes(), block.tobytes(), n.tobytes(), data.tobytes()))
+
+
+def _loaded(value: bytes | None):
+    import numpy as np
+    k = int(np.frombuffer(value, np.int64, 1)[0]) if value else 0
+    value = value or bytes(8)
+    return (np.frombuffer(value, np.int64, k, 8), np.frombuffer(value, np.int32, k, 8 + 8 * k),
+            np.frombuffer(value, np.int32, k, 8 + 12 * k), np.frombuffer(value, np.uint8, -1, 8 + 16 * k)
+            if len(value) > 8 + 16 * k else np.empty(0, np.uint8))
+
+
+def best_of(value: bytes | None, wine, block, at, worth):
+    """(new value, the changed blocks as (wine, block, pages)) for stored
+    blocks and arrays of captures; the blocks of a value are ordered."""
+    import numpy as np
+    old_wine, old_block, old_n, old_data = _loaded(value)
+    k = len(old_wine)
+    wines, blocks = np.concatenate([old_wine, wine]), np.concatenate([old_block, block])
+    order = np.lexsort((blocks, wines))
+    w, b = wines[order], blocks[order]
+    new = np.ones(len(w), bool)
+    new[1:] = (w[1:] != w[:-1]) | (b[1:] != b[:-1])
+    of = np.empty(len(w), np.int64)
+    of[order] = np.cumsum(new) - 1  # the merged block of every stored block and capture
+    w, b = w[new], b[new]
+    n = np.zeros(len(w), np.int32)
+    np.maximum.at(n, of, np.concatenate([old_n, at + 1]).astype(np.int32))
+    begin = np.cumsum(n, dtype=np.int64) - n
+    before = np.full(int(n.sum()), NONE, np.uint8)
+    inside = np.arange(len(old_data)) - np.repeat(np.cumsum(old_n, dtype=np.int64) - old_n, old_n)
+    before[np.repeat(begin[of[:k]], old_n) + inside] = old_data
+    data = before.copy()
+    np.minimum.at(data, begin[of[k:]] + at, worth)
+    changed = np.unique(np.repeat(np.arange(len(w)), n)[data != before])
+    none = bytes([NONE])
+    return _stored(w, b, n, data), ((w[i], b[i], data[begin[i]:begin[i] + n[i]].tobytes().ljust(BLOCK, none)) for i in changed)
+
+
 class BestCaptures(StatefulProcessor):
-    """Per (wine, block): the best capture of every page, as bytes."""
+    """Per slot: the best capture of every page of its blocks, as bytes."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pages = handle.getValueState("pages", "pages binary")
+        self.blocks = handle.getValueState("blocks", "data binary")
 
     def handleInputRows(self, key, rows: Iterator, timerValues) -> Iterator:
+        import itertools
         import numpy as np
         import pandas as pd
-        old = self.pages.get()
-        best = np.frombuffer(old[0], np.uint8).copy() if old else np.full(BLOCK, NONE, np.uint8)
-        for pdf in rows:
-            np.minimum.at(best, pdf["at"].to_numpy(), pdf["worth"].to_numpy(np.uint8))
-        data = best.tobytes()
-        if not old or bytes(old[0]) != data:
-            self.pages.update((data,))
-            yield pd.DataFrame({"wine_id": [key[0]], "block": [key[1]], "pages": [data]})
+        new = pd.concat(list(rows))
+        old = self.blocks.get()
+        old = bytes(old[0]) if old else None
+        data, changed = best_of(old, new["wine_id"].to_numpy(np.int64), new["block"].to_numpy(np.int32),
+                                new["at"].to_numpy(np.int64), new["worth"].to_numpy(np.uint8))
+        if data != old:
+            self.blocks.update((data,))
+        while part := list(itertools.islice(changed, EMIT)):
+            yield pd.DataFrame(part, columns=["wine_id", "block", "pages"])
 
     def close(self) -> None:
         pass
@@ -56,7 +106,8 @@ def update_page_state(spark: SparkSession, captures: str, sink: str, checkpoint:
     worth = F.when(F.col("state") == "ok", 0).when(F.col("state") == "empty", 1).otherwise(2).cast("byte")
     keyed = rows.filter("wine_id is not null and page_no is not null").select(
         "wine_id", F.floor(page / BLOCK).cast("int").alias("block"), F.pmod(page, F.lit(BLOCK)).alias("at"), worth.alias("worth"))
-    changed = keyed.groupBy("wine_id", "block").transformWithStateInPandas(
+    slot = F.pmod(F.xxhash64("wine_id", "block"), F.lit(SLOTS)).cast("int")
+    changed = keyed.withColumn("slot", slot).groupBy("slot").transformWithStateInPandas(
         BestCaptures(), outputStructType=BLOCKS, outputMode="update", timeMode="none")
 
     def store(batch: DataFrame, number: int) -> None:

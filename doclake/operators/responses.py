@@ -56,34 +56,49 @@ def page_runs(pages: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     ``kept_pages`` (run length), ``finished`` and ``n_pages`` = run length +
     start - 1 (the page count of the success message).
 
-    Plan: every page learns whether its successor exists from one left join
-    of the pages with themselves shifted by one (hash partitioned on
-    (wine, page), so one wine with very many pages is spread over many
-    tasks); one per-wine aggregate with partial (map-side) merging then gives
-    the first missing page, the first bad page with its state and whether
-    the start page exists. No window over a wine's pages."""
-    # of several captures of a page the best counts: ok, then empty, then failed
-    worth = F.when(F.col("state") == "ok", 0).when(F.col("state") == "empty", 1).otherwise(2)
-    p = (pages.groupBy("wine_id", "page_no").agg(F.min(worth).alias("_w"))
-         .select("wine_id", "page_no", F.when(F.col("_w") == 0, "ok").when(F.col("_w") == 1, "empty")
-                 .otherwise("failed").alias("state")))
+    Plan: one aggregate per (wine, block of 32 page numbers) folds the captures
+    into two bit masks (ok, empty) before anything is exchanged, so repeated
+    captures need no exchange of their own and one wine with very many pages is
+    spread over many tasks. An ok capture of a block's last page also names the
+    next block, so a block that is missing there shows as one without pages.
+    Each block gives its first page that is not ok by one bit count; the least
+    of these is where a wine's run stops. No window over a wine's pages."""
+    page = F.col("page_no").cast("long")
+    own, at = F.shiftright(page, 5), page.bitwiseAND(F.lit(31)).cast("int")
+    bit, none = _shiftleft(F.lit(1).cast("long"), at), F.lit(0).cast("long")
+    is_ok = F.coalesce(F.col("state") == "ok", F.lit(False))
+    named = pages.filter(page.isNotNull()).select(
+        "wine_id", own.alias("_own"), F.when(is_ok, bit).otherwise(none).alias("_ok"),
+        F.when(F.col("state") == "empty", bit).otherwise(none).alias("_empty"),
+        F.explode_outer(F.when((at == 31) & is_ok, F.array(own, own + 1)).otherwise(F.array(own))).alias("block"))
+    here = F.col("block") == F.col("_own")
+    masks = named.groupBy("wine_id", "block").agg(F.bit_or(F.when(here, F.col("_ok")).otherwise(none)).alias("ok"),
+                                                  F.bit_or(F.when(here, F.col("_empty")).otherwise(none)).alias("empty"))
     if starts is None:
-        starts = p.select("wine_id").distinct().withColumn("start_page", F.lit(1))
+        starts = pages.select("wine_id").distinct().withColumn("start_page", F.lit(1))
     else:  # a wine planned more than once starts at its first start page
         starts = starts.groupBy("wine_id").agg(F.min("start_page").alias("start_page"))
-    p = p.join(starts, "wine_id").filter(F.col("page_no") >= F.col("start_page"))
-    nxt = p.select("wine_id", (F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next"))
-    per_wine = (p.join(nxt, ["wine_id", "page_no"], "left")
-                .groupBy("wine_id")
-                .agg(F.min(F.when(F.col("has_next").isNull(), F.col("page_no") + 1)).alias("first_gap"),
-                     F.min(F.when(F.col("state") != "ok", F.struct("page_no", "state"))).alias("bad"),
-                     F.max(F.col("page_no") == F.col("start_page")).alias("has_start")))
+    start = F.col("start_page").cast("long")
+    first = F.shiftright(start, 5)
+    begin = F.when(F.col("block") == first, start.bitwiseAND(F.lit(31)).cast("int")).otherwise(F.lit(0))
+    not_ok = F.bitwise_not("ok").bitwiseAND(_shiftleft(F.lit(BLOCK_BITS), begin)).bitwiseAND(F.lit(BLOCK_BITS))
+    b = (masks.join(starts, "wine_id").filter(F.col("block") >= first)
+         .select("wine_id", "block", "empty", first.alias("first"), not_ok.alias("not_ok")))
+    lowest = F.col("not_ok").bitwiseAND(-F.col("not_ok"))
+    stop = F.when(F.col("not_ok") != 0, F.col("block") * 32 + F.bit_count(lowest - 1))  # NULL: ok to the block's end
+    per_wine = b.groupBy("wine_id").agg(
+        F.min(stop).alias("stop"), F.min(F.when(F.col("empty").bitwiseAND(lowest) != 0, stop)).alias("stop_empty"),
+        F.max(F.col("block") == F.col("first")).alias("has_first"))
     s = starts.join(per_wine, "wine_id", "left")
-    has_start = F.coalesce(F.col("has_start"), F.lit(False))
-    gap = F.when(~has_start, F.col("start_page")).otherwise(F.col("first_gap"))
-    first_bad = F.col("bad.page_no")
-    stop = F.least(gap, F.coalesce(first_bad, gap))
-    finished = F.coalesce(has_start & (first_bad == stop) & (F.col("bad.state") == "empty"), F.lit(False))
-    kept = (stop - F.col("start_page")).cast("int")
+    has_first = F.coalesce("has_first", F.lit(False))
+    kept = (F.when(has_first, F.col("stop")).otherwise(F.col("start_page")) - F.col("start_page")).cast("int")
+    finished = F.coalesce(has_first & (F.col("stop_empty") == F.col("stop")), F.lit(False))
     return s.select("wine_id", kept.alias("kept_pages"), finished.alias("finished"),
                     (kept + F.col("start_page") - 1).cast("int").alias("n_pages"))
+
+
+BLOCK_BITS = 0xFFFFFFFF
+
+
+def _shiftleft(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftleft", value, bits)

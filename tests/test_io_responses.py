@@ -219,3 +219,34 @@ def test_batch_ingest_skips_landed_documents(spark, tmp):
     new, seen = insert_if_absent(spark, f"{tmp}/raw", second, "file_name")
     assert [r[0] for r in new.select("file_name").collect()] == ["c.json"]
     assert [r[0] for r in seen.select("file_name").collect()] == ["b.json"]
+
+
+def test_page_runs_fold_captures_before_the_exchange(spark):
+    """Against a plain walk over pages, at block borders, with long, negative
+    and unknown pages; repeated captures and the next page need no exchange."""
+    import random
+    rng, caps, starts = random.Random(9), [], []
+    for wine in range(60):
+        at = rng.choice([1, 1, 30, 31, 32, 33, 64, -40, -1, 0, 2 ** 30 - 2])
+        n = rng.choice([0, 1, 2, 30, 31, 32, 33, 63, 64, 65, 100])
+        caps += [(wine, at + i, "ok") for i in range(n)] + [(wine, at + i, "failed") for i in range(0, n, 3)]
+        caps += [(wine, at + n + rng.choice([0, 0, 0, 1, 32]), rng.choice(["ok", "empty", "failed", None]))]
+        caps += [(wine, at + n + 40 + i, rng.choice(["ok", "empty"])) for i in range(rng.choice([0, 5]))]
+        starts += [(wine, at + rng.choice([0, 0, 0, 5, 31, 32, -1]))]
+    caps += [(None, 1, "ok"), (70, None, "ok"), (71, 1, "ok")]
+    starts += [(70, 1), (71, None), (72, 4), (None, 1), (0, 2 ** 41)]
+    rng.shuffle(caps)
+    best, rank = {}, {"ok": 0, "empty": 1}
+    for wine, page_no, state in caps:
+        best[wine, page_no] = min(best.get((wine, page_no), 2), rank.get(state, 2))
+    want = {72: (0, False), 70: (0, False), 71: (None, False), None: (0, False)}
+    for wine, begin in starts[:60]:
+        end = begin
+        while best.get((wine, end)) == 0:
+            end += 1
+        want[wine] = (end - begin, best.get((wine, end)) == 1)
+    got = R.page_runs(spark.createDataFrame(caps, "wine_id long, page_no long, state string"),
+                    spark.createDataFrame(starts, "wine_id long, start_page long"))
+    plan = got._jdf.queryExecution().explainString(got.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert plan.count("Exchange hashpartitioning(wine_id") + plan.count("Exchange hashpartitioning(block") <= 4
+    assert {r["wine_id"]: (r["kept_pages"], r["finished"]) for r in got.collect()} == want

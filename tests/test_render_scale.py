@@ -6,7 +6,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from doclake.catalog import docs as D
-from doclake.catalog.render import review_docs, wines_docs
+from doclake.catalog.render import price_docs, review_docs, wines_docs
 
 LINES = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
@@ -88,3 +88,26 @@ def test_customers_and_wineries_do_not_move_the_fact(spark, root, make):
     moved = [x for x in text.getvalue().splitlines() if "Exchange hashpartitioning(" in x]
     assert len([x for x in moved if "_deal#" in x and "REPARTITION_BY_NUM" in x]) == 2
     assert not [x for x in moved if "kind#" in x or "page#" in x]
+
+
+def test_price_documents_of_a_large_fact_lie_where_their_lines_do(spark, tmp_path):
+    """The same documents, with one exchange of the lines by part; parts with
+    many lines are paired before the exchange."""
+    import json
+    from datetime import datetime
+    day = datetime(1996, 3, 2)
+    lines = [(o, p, s, 1, 1.0, 10.0 * o, 0.1 * (o % 3), 0.05, "N", "O", day)
+             for p, n in ((0, 40), (1, 3), (2, 7), (3, 1), (None, 6)) for o in range(n) for s in [o % 4]]
+    spark.createDataFrame(lines, LINES).write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def found(docs):
+        return sorted((r["file_name"], json.dumps(json.loads(r["body"]), sort_keys=True)) for r in docs.collect())
+    plain = found(price_docs(spark, str(tmp_path)))
+    assert len(plain) == 5
+    for heavy_rows in (2, 5, 6, 1000):
+        assert found(price_docs(spark, str(tmp_path), task_rows=2, heavy_rows=heavy_rows)) == plain
+    text = io.StringIO()
+    with redirect_stdout(text):
+        price_docs(spark, str(tmp_path), task_rows=2).explain()
+    light = text.getvalue().split("LeftAnti")[0]
+    assert light.count("Exchange hashpartitioning(") == 1 and "REPARTITION_BY_NUM" in light

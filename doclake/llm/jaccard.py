@@ -48,16 +48,24 @@ from doclake.llm.shingles import WordHashes, content_id, shingle_sequences
 
 SKETCH_BITS, SKETCH_PARTS = 20, 256
 _PART = (1 << SKETCH_BITS) // SKETCH_PARTS
+SLICE = 256  # texts of a batch that a task holds as Python objects at once
 
 
 def _sets(texts: list, cache: WordHashes, width: int) -> Iterator[np.ndarray]:
     """Each text's sorted distinct shingles."""
-    for at in range(0, len(texts), 512):
-        h, b, _ = shingle_sequences(texts[at: at + 512], cache, width)
+    for at in range(0, len(texts), SLICE):
+        h, b, _ = shingle_sequences(texts[at: at + SLICE], cache, width)
         for i in range(len(b) - 1):
             yield np.unique(h[b[i]: b[i + 1]])
 
 
+def _slices(batch) -> Iterator[list]:
+    """The texts of an Arrow batch, some at a time."""
+    text = batch.column("text")
+    for at in range(0, len(text), SLICE):
+        yield text.slice(at, SLICE).to_pylist()
+
+
 def _batch(names: list[str], *cols):
     import pyarrow as pa
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=names)
@@ -71,19 +79,23 @@ def measure(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
         import pyarrow as pa
         cache, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
         none = pa.nulls
+
+        def count(held: list) -> None:
+            at = np.concatenate(held).astype(np.uint64) & np.uint64((1 << SKETCH_BITS) - 1)
+            np.add(sketch, np.bincount(at.view(np.int64), minlength=len(sketch)), out=sketch)
         for b in batches:
             n, c, held, size = [], [], [], 0
-            for s in _sets(b.column("text").to_pylist(), cache, width):
-                n.append(len(s))
-                c.append(content_id(s))
-                held.append(s)
-                size += len(s)
-                if size > 1 << 21:
-                    sketch += np.bincount(np.concatenate(held) & np.uint64((1 << SKETCH_BITS) - 1), minlength=len(sketch))
-                    held, size = [], 0
+            for texts in _slices(b):
+                for s in _sets(texts, cache, width):
+                    n.append(len(s))
+                    c.append(content_id(s))
+                    held.append(s)
+                    size += len(s)
+                    if size > 1 << 18:
+                        count(held)
+                        held, size = [], 0
             if held:
-                sketch += np.bincount(np.concatenate(held).astype(np.uint64) & np.uint64((1 << SKETCH_BITS) - 1),
-                                      minlength=len(sketch))
+                count(held)
             k = len(n)
             yield _batch(["doc_id", "th", "n", "c", "part", "counts"], b.column("doc_id"), b.column("th"),
                          pa.array(n, pa.int64()), pa.array(c, pa.int64()), none(k, pa.int32()), none(k, pa.binary()))
@@ -119,23 +131,24 @@ def seed_rows(docs: DataFrame, sketch: np.ndarray, width: int, percent: int, hot
         import pyarrow as pa
         cache, freq, seen = WordHashes(), shared.value, set()
         for b in batches:
-            out = []
-            for s in _sets(b.column("text").to_pylist(), cache, width):
-                c = content_id(s)
-                if not len(s) or c in seen:
-                    continue
-                seen.add(c)
-                if len(seen) > 1 << 20:  # only saves work: equal classes are one row later, too
-                    seen.clear()
-                f = freq[s & np.uint64((1 << SKETCH_BITS) - 1)]
-                k = len(s) - -(-percent * len(s) // 100) + 1
-                first = np.lexsort((s, f))[:k]
-                out.append((s[first], np.full(k, c, np.int64), np.full(k, len(s), np.int32), f[first] >= hot))
-            if out:
-                cols = [np.concatenate(x) for x in zip(*out, strict=True)]
-                for at in range(0, len(cols[0]), 200_000):
-                    p = [x[at: at + 200_000] for x in cols]
-                    yield _batch(["s", "c", "n", "hot"], p[0].view(np.int64), p[1], p[2], pa.array(p[3]))
+            for texts in _slices(b):
+                out = []
+                for s in _sets(texts, cache, width):
+                    c = content_id(s)
+                    if not len(s) or c in seen:
+                        continue
+                    seen.add(c)
+                    if len(seen) > 1 << 18:  # only saves work: equal classes are one row later, too
+                        seen.clear()
+                    f = freq[s & np.uint64((1 << SKETCH_BITS) - 1)]
+                    k = len(s) - -(-percent * len(s) // 100) + 1
+                    first = np.lexsort((s, f))[:k]
+                    out.append((s[first], np.full(k, c, np.int64), np.full(k, len(s), np.int32), f[first] >= hot))
+                if out:
+                    cols = [np.concatenate(x) for x in zip(*out, strict=True)]
+                    for at in range(0, len(cols[0]), 100_000):
+                        p = [x[at: at + 100_000] for x in cols]
+                        yield _batch(["s", "c", "n", "hot"], p[0].view(np.int64), p[1], p[2], pa.array(p[3]))
     spark = docs.sparkSession
     path = scratch_path(spark, "jx-rows")
     schema = "s long, c long, n int, hot boolean"
@@ -179,21 +192,36 @@ def shared_rows(reg: DataFrame) -> DataFrame:
 
 def one_region_per_set(rows: DataFrame) -> DataFrame:
     """``rows`` (s, c, ...) of one region for each set of members, with k, the
-    set's size, and times, the number of regions that had it. Near copies of
+    set's size, and times, the number of regions that had it (or the sum of
+    their ``times``, if ``rows`` has any). Near copies of
     long texts share thousands of shingles and so thousands of regions with
     the same members; all would give the same pairs. Regions of one member go."""
+    times = F.max("times") if "times" in rows.columns else F.max(F.lit(1).cast("long"))
     sets = rows.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("c")).alias("h"),
-                                 F.bit_xor(F.xxhash64("c", F.lit(1))).alias("g"))
-    one = write_table(sets.filter("k > 1").groupBy("k", "h", "g").agg(F.min("s").alias("s"), F.count(F.lit(1)).alias("times"))
+                                 F.bit_xor(F.xxhash64("c", F.lit(1))).alias("g"), times.alias("times"))
+    one = write_table(sets.filter("k > 1").groupBy("k", "h", "g").agg(F.min("s").alias("s"), F.sum("times").alias("times"))
                       .select("s", "k", "times"), "jx-sets-once")
-    return rows.join(one, "s")
+    return rows.drop("times").join(one, "s")
+
+
+def by_size(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (s, c, n, k, times) with the regions of more than ``FEW``
+    members divided by set size. A step of sizes is a little wider than any two
+    that can link, and each class lies in its own step and the next, so a
+    linked pair still meets. Documents that only share a passage differ in
+    size: most are alone here, or few."""
+    step = F.floor(F.log("n") / float(np.log(100.1 / percent)))
+    steps = F.explode(F.array(step, step + 1)).alias("step")
+    parts = rows.filter(F.col("k") > FEW).select("s", "c", "n", "times", steps)
+    parts = write_table(parts.select(F.xxhash64("s", "step").alias("s"), "c", "n", "times"), "jx-sizes")
+    return rows.filter(F.col("k") <= FEW).unionByName(one_region_per_set(parts).select(*rows.columns))
 
 
-def memberships(rows: DataFrame) -> DataFrame:
+def memberships(rows: DataFrame, percent: int) -> DataFrame:
     """(s, c, n, w): members of the regions that differ, stored. w, the summed
     sizes of a class's regions, is largest for the class in the middle of a
     group of near copies: its window holds what most of the others share."""
-    once = write_table(one_region_per_set(rows), "jx-rows-once")
+    once = write_table(by_size(write_table(one_region_per_set(rows), "jx-rows-once"), percent), "jx-rows-by-size")
     weight = write_table(once.groupBy("c").agg(F.sum(F.col("k") * F.col("times")).alias("w")), "jx-weights")
     return write_table(once.join(weight, "c").select("s", "c", "n", "w"), "jx-memberships")
 
@@ -314,7 +342,7 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
     conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seeds = seed_rows(docs, sketch, width, percent, hot=max(4096, 4 * (total >> SKETCH_BITS)))
     shared = shared_rows(regions(seeds, max(conf, total // 2_000_000)))
-    member = memberships(shared)
+    member = memberships(shared, percent)
     sig, reps = signatures(shared), representatives(rows.filter("n > 0"))
     nobody = member.limit(0)
     known = nobody.select("c", F.col("c").alias("p"), F.lit(0.0).alias("d"), F.lit(False).alias("linked"))
@@ -333,14 +361,14 @@ def class_links(docs: DataFrame, rows: DataFrame, sketch: np.ndarray, width: int
             known = known.unionByName(distances(few, docs, reps, width, percent))
         near = write_table(m.join(size.filter(F.col("k") > FEW), "s").filter("c <> p"), "jx-near")
         pairs = write_table(near.groupBy("c", "p").agg(F.min("lo").alias("lo")), "jx-pairs")
-        if pairs.isEmpty():
-            members = nobody.withColumn("low", F.lit(False))
-        else:
-            exact = measured(pairs, docs, reps, sketch, width, percent)
+        exact = None if pairs.isEmpty() else measured(pairs, docs, reps, sketch, width, percent)
+        if exact is not None:
             known = known.unionByName(exact.select("c", "p", "d", "linked"))
-            members = residual_regions(near, exact, percent)
         known = write_table(known, "jx-known")
         label = write_table(components(known.filter("linked").select(F.col("c").alias("a"), F.col("p").alias("b"))), "jx-label")
+        members = nobody.withColumn("low", F.lit(False))
+        if exact is not None:  # only what these links leave open meets again
+            members = residual_regions(open_members(near.drop("label"), label), exact, percent)
     return exhaust(members.select("s", "c", "n", "w"), label, known, sig, docs, reps, width, percent)
 
 

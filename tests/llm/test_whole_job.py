@@ -125,6 +125,39 @@ def test_unlinked_texts_around_one_passage_are_not_listed_by_pairs(spark, monkey
     assert compared < 20 * len(rows), compared
 
 
+def test_a_shared_passage_does_not_pair_texts_of_unlike_sizes(spark, monkeypatch):
+    """A dozen texts of one passage, each a third longer than the one before:
+    nothing can link, so none meets a pivot. Beginnings of one text, each of
+    four fifths of the next, all link in a chain. The sketch is level, as on
+    large inputs, so the passage lies in all windows."""
+    rng = random.Random(23)
+    common = words(rng, 60)
+    rows = [(i, " ".join([*common, *words(rng, int(20 * 1.9 ** i))])) for i in range(12)]
+    long, size = words(rng, 800), 64
+    for i in range(11):
+        rows.append((100 + i, " ".join(long[: size + 4])))  # size shingles
+        size = size * 5 // 4
+    met = []
+    store, measure = jaccard.write_table, jaccard.measure
+
+    def level(docs, width):
+        sizes, sketch = measure(docs, width)
+        return sizes, sketch * 0
+    monkeypatch.setattr(jaccard, "measure", level)
+
+    def counted(df, name, *more):
+        out = store(df, name, *more)
+        if name == "jx-pairs":
+            met.extend(out.collect())
+        return out
+    monkeypatch.setattr(jaccard, "write_table", counted)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in
+                 jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(brute.jaccard_components(rows))
+    assert {c for _, _, c in got} == {*range(12), 100}
+    assert not met, len(met)
+
+
 def test_groups_of_sizes_that_a_large_pivot_holds(spark):
     """Pieces of one long text: the pivot holds small members nearly whole
     without being linked to them, and they are linked with each other."""

@@ -1,6 +1,7 @@
 """Documents kept many to a file: the same rows as one file each, by every reader."""
 
 import os
+import tempfile
 import time
 import zipfile
 
@@ -117,3 +118,86 @@ def test_catalogue_lands_json_documents_in_packs(spark, tmp):
         loose = [p for p in found(folder) if not p.endswith(packs.SUFFIX)]
         names = [n for p in found(folder) if p.endswith(packs.SUFFIX) for n in zipfile.ZipFile(p).namelist()]
         assert len(loose) == 4 and len(names) == len(set(names)) == 73
+
+
+def test_documents_are_compressed_together_and_read_alone():
+    import io
+    import random
+
+    import pyarrow.fs as pafs
+    draw = random.Random(4)
+    some = [(f"wine-{i}.json", "".join(f'{{"rating": {draw.random()}, "language": "en", "vintage": null}}' for _ in range(8)).encode())
+            for i in range(3000)]  # several blocks
+    (n, data), = packs.packed([*some, ("empty", b"")])
+    assert n == 3001
+    alone = io.BytesIO()
+    with zipfile.ZipFile(alone, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, body in some:
+            z.writestr(name, body)
+    assert len(data) < 0.9 * len(alone.getvalue())
+    pack = packs.Pack(data)
+    names = [name for name, _ in some]
+    draw.shuffle(names)
+    assert {name: pack.read(name) for name in names} == dict(some) and pack.read("empty") == b""
+    assert pack.in_order(names) == [name for name, _ in some]
+    plain = packs.Pack(alone.getvalue())  # any zip file is a pack
+    assert [(name, plain.read(name)) for name in plain.names()] == some
+    for got in (data, alone.getvalue()):
+        with open(f"{tempfile.mkdtemp(prefix='packs-')}/x.docs.zip", "wb") as f:
+            f.write(got)
+        lengths = dict(packs.entries(pafs.LocalFileSystem(), f.name))
+        assert all(lengths[name] == len(body) for name, body in some)
+
+
+def test_shuffle_files_go_with_the_written_step(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from doclake.session import REMOVE_SHUFFLES, shuffles_removed
+    before, seen = spark.conf.get(REMOVE_SHUFFLES, None), []
+    statuses = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    for inside in (False, True):
+        rows = spark.range(2000).repartition(3, F.col("id") % 7)
+        held = statuses.getAllFiles().size()
+        if inside:
+            with shuffles_removed(spark):
+                rows.write.parquet(f"{tmp}/{inside}")
+        else:
+            rows.write.parquet(f"{tmp}/{inside}")
+        for _ in range(50):  # files go in the background
+            seen.append(statuses.getAllFiles().size() - held)
+            if inside == (seen[-1] <= 0):
+                break
+            time.sleep(0.1)
+        assert inside == (seen[-1] <= 0)
+        assert spark.read.parquet(f"{tmp}/{inside}").count() == 2000
+    assert spark.conf.get(REMOVE_SHUFFLES, None) == before
+
+
+def test_a_wave_of_documents_holds_the_wanted_orders_alone(spark, tmp):
+    from datetime import datetime
+
+    from doclake.catalog.render import review_docs
+    from doclake.sinks.tables import save_table
+    day = datetime(1996, 3, 2)
+    tables = {
+        "lineitem": ([(o, (o or 5) % 9, (o or 5) % 4, i, 5.0, 0.05, "N", "O", day) for o in [*range(1, 41), None] for i in range(1, 8) if o is not None or i < 3],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_tax double, "
+                     "l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "orders": ([(o, 1, "1-URGENT") for o in range(1, 41)], "o_orderkey long, o_custkey long, o_orderpriority string"),
+        "customer": ([(1, "c1", 1, 2.5, "AUTO")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "part": ([(p, f"p {p}", "b", p, 3.5) for p in range(9)],
+                 "p_partkey long, p_name string, p_brand string, p_size int, p_retailprice double"),
+        "supplier": ([(s, f"s{s}", 0) for s in range(4)], "s_suppkey long, s_name string, s_nationkey int"),
+        "nation": ([(0, "n0", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "r0")], "r_regionkey int, r_name string")}
+    for name, (values, ddl) in tables.items():
+        spark.createDataFrame(values, ddl).write.parquet(f"{tmp}/{name}.parquet")
+
+    def docs(**params):
+        return {r["file_name"]: sorted(r["body"]) for r in review_docs(spark, tmp, page_rows=3, **params).collect()}
+    every = docs()
+    waves = [docs(heavy_rows=heavy, wanted=F.pmod("l_orderkey", F.lit(2)) == w) for w, heavy in ((0, 100), (1, 5))]
+    assert len(waves[0]) + len(waves[1]) == len(every) and waves[0] | waves[1] == every
+    assert all(int(name.split("-")[1]) % 2 == w for w in (0, 1) for name in waves[w])
+    none = save_table(spark.range(0).withColumn("wave", F.lit(1)), f"{tmp}/none", partition_by=["wave"])
+    assert none.filter("wave = 1").count() == 0

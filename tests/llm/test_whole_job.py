@@ -1,8 +1,10 @@
 """Cases in which an operator did less than its whole job."""
 
 import random
+import time
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from . import brute
 
@@ -214,3 +216,62 @@ def test_chains_see_all_runs_that_can_be_joined():
                         and 180 * m >= 80 * (y[1] - x[0] + y[3] - x[2])):
                     want.add((q, r))
         assert got == want
+
+
+def test_chaining_looks_at_pairs_of_unchanged_runs_once(monkeypatch):
+    draw = np.random.default_rng(3)
+    a = draw.integers(0, 1 << 40, 1500)
+    b = np.delete(a, draw.choice(1500, 60, replace=False))  # some 60 runs, joined in several rounds
+    runs, each = passages.equal_runs(a, b), passages.next_pairs
+    plain = passages.undominated(runs)
+    while True:  # all pairs again in each round
+        plain = plain[np.lexsort((plain[:, 2], plain[:, 0]))]
+        found = sorted((gap, q, r, m) for part in each(plain, 80) for q, r, m, gap in zip(*(x.tolist() for x in part), strict=True))
+        taken, gone, new = set(), set(), []
+        for _, q, r, m in found:
+            if not {q, r} & taken:
+                gone |= {q, r}
+                new.append((plain[q, 0], plain[r, 1], plain[q, 2], plain[r, 3], m))
+            taken |= {q, r}
+        if not new:
+            break
+        plain = np.array([x for i, x in enumerate(plain.tolist()) if i not in gone] + new)
+    asked = []
+
+    def counted(runs, percent, **params):
+        asked.append(params.get("fresh"))
+        yield from each(runs, percent, **params)
+    monkeypatch.setattr(passages, "next_pairs", counted)
+    assert sorted(passages.chained(runs, 80).tolist()) == sorted(plain.tolist()) and len(plain) < 10
+    assert len(asked) > 2 and asked[0] is None and all(len(f) for f in asked[1:])
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    from doclake.llm.common import write_table
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = files.getAllFiles().size()
+    got = write_table(spark.range(2000).repartition(5, F.col("id") % 7), "no-shuffles")
+    for _ in range(100):  # files go in the background
+        if files.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert files.getAllFiles().size() <= before and got.count() == 2000
+
+
+def test_comparing_passages_exchanges_the_pivots_items_alone(spark, monkeypatch):
+    """A pivot is the shortest text of its group: its items travel with each pair, the longer ones' do not."""
+    rows, long = 40, [f"w{i}" for i in range(3000)]
+    texts = [" ".join(long[:60])] + [" ".join(f"a{k}_{x}" for x in long) + " " + " ".join(long[:60]) for k in range(rows)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = docs.select("doc_id", F.xxhash64("text").alias("th"), F.xxhash64("text").alias("c")).localCheckpoint()
+    h = {r["doc_id"]: r["c"] for r in table.collect()}
+    pairs = spark.createDataFrame([(h[i], h[0]) for i in range(1, rows + 1)], "c long, p long")
+    from doclake.llm.classes import representatives
+    plans = []
+    write = passages.write_table
+    monkeypatch.setattr(passages, "write_table", lambda df, *a: (plans.append(df), write(df, *a))[1])
+    found = passages.verify(pairs, docs, representatives(table), 5, 46, 80)
+    assert found.count() == rows
+    text = plans[-1]._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join Inner" in line]
+    assert len(joins) == 2 and joins[0].split("(")[1].startswith("c#") and joins[1].split("(")[1].startswith("p#")
